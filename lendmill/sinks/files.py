@@ -44,15 +44,20 @@ def export_csv(
     path: str,
     limit: int | None = None,
     order_by: Sequence[str] | None = None,
+    null_value: str = "",
 ) -> None:
-    """Overwrite a CSV directory with header; ``limit`` keeps the first rows by ``order_by``."""
+    """Overwrite a CSV directory with header; ``limit`` keeps the first rows by ``order_by``.
+
+    A ``null_value`` that occurs in no text, given to the reader as well, keeps
+    null and empty text apart.
+    """
     if limit is not None:
         df = ordered_head(df, limit, order_by or df.columns)
     elif order_by:
         df = df.orderBy(*order_by)
-    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE, nullValue=null_value).csv(path)
 
 
-def snapshot_table(df: DataFrame, path: str) -> None:
+def snapshot_table(df: DataFrame, path: str, null_value: str = "") -> None:
     """The whole table as CSV, written in parallel."""
-    export_csv(df, path)
+    export_csv(df, path, null_value=null_value)

@@ -15,6 +15,7 @@ def read_csv_dir(
     schema: StructType | None = None,
     *,
     multi_line: bool = False,
+    null_value: str = "",
 ) -> DataFrame:
     """All CSV files of a directory, each with a header line.
 
@@ -23,9 +24,10 @@ def read_csv_dir(
     are inferred, which costs a pass over all data.
 
     ``multi_line`` allows line breaks inside quoted fields; a file is then read
-    by one task, so keep the files small.
+    by one task, so keep the files small. ``null_value`` is the text that stands
+    for null; with the default an empty text is null too.
     """
-    reader = spark.read.options(**CSV_DIALECT).option("multiLine", multi_line)
+    reader = spark.read.options(**CSV_DIALECT, multiLine=multi_line, nullValue=null_value)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).option("enforceSchema", False).csv(path)

@@ -1,0 +1,72 @@
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lendmill.functions import bucketize, flag_equals, percent, pick
+from lendmill.operators.applications import AMOUNT_BOUNDS, AMOUNT_LABELS
+
+FEW = settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+
+
+def label_of(amount, null_label="xlarge"):
+    if amount is None:
+        return null_label
+    for bound, label in zip(AMOUNT_BOUNDS, AMOUNT_LABELS):
+        if amount < bound:
+            return label
+    return AMOUNT_LABELS[-1]
+
+
+@FEW
+@given(st.lists(st.none() | st.floats(allow_infinity=True, allow_nan=True), min_size=1, max_size=200))
+def test_bucketize_matches_python(spark, amounts):
+    edges = [b + d for b in AMOUNT_BOUNDS for d in (-0.01, 0.0, 0.01)]
+    rows = [(a,) for a in amounts + edges]
+    df = spark.createDataFrame(rows, "amount double").select(
+        "amount",
+        bucketize("amount", AMOUNT_BOUNDS, AMOUNT_LABELS).alias("label"),
+        bucketize("amount", AMOUNT_BOUNDS, AMOUNT_LABELS, "none").alias("or_none"),
+    )
+    for row in df.collect():
+        assert row["label"] == label_of(row["amount"])
+        assert row["or_none"] == label_of(row["amount"], "none")
+
+
+def test_nan_lies_below_no_bound(spark):
+    df = spark.createDataFrame([(math.nan,)], "amount double")
+    assert df.select(bucketize("amount", [1], ["low", "high"])).first()[0] == "high"
+
+
+def test_bucketize_without_bounds(spark):
+    assert spark.range(1).select(bucketize("id", [], ["all"])).first()[0] == "all"
+
+
+@pytest.mark.parametrize("bounds, labels", [([1, 2], ["a", "b"]), ([2, 1], ["a", "b", "c"])])
+def test_bucketize_rejects_bad_bounds(spark, bounds, labels):
+    with pytest.raises(ValueError):
+        bucketize("amount", bounds, labels)
+
+
+def test_flag_ignores_case_but_not_blanks(spark):
+    rows = [("approved",), ("APPROVED",), ("Approved",), (" approved",), ("approved ",), (None,), ("",)]
+    df = spark.createDataFrame(rows, "status string").select(
+        flag_equals("status", "Approved").alias("flag")
+    )
+    assert [r["flag"] for r in df.collect()] == [True, True, True, False, False, False, False]
+    assert df.schema["flag"].nullable is False
+
+
+def test_pick_cycles(spark):
+    df = spark.range(7).select(pick(["a", "b", "c"], "id").alias("x"))
+    assert "".join(r["x"] for r in df.orderBy("id").collect()) == "abcabca"
+
+
+def test_percent_rounds_half_up(spark):
+    df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 5), (5, 5)], "a long, t long")
+    got = [r[0] for r in df.select(percent(F.col("a"), "t", 1)).collect()]
+    assert got == [12.5, 33.3, 66.7, 0.0, 100.0]

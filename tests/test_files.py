@@ -1,0 +1,84 @@
+from datetime import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lendmill.operators import ordered_head
+from lendmill.sinks import export_csv, snapshot_table, write_parquet
+from lendmill.sources import read_csv_dir
+from lendmill.workspace import scratch_path
+
+TEXTS = st.none() | st.text(
+    st.sampled_from(list('ab"\',;\\ \t\n#é')), max_size=8
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(TEXTS, TEXTS), min_size=1, max_size=60))
+def test_csv_keeps_texts(spark, tmp_path_factory, texts):
+    path = str(tmp_path_factory.mktemp("csv") / "t")
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "id int, a string, b string")
+    snapshot_table(df, path, null_value="\\N")
+    back = read_csv_dir(spark, path, df.schema, multi_line=True, null_value="\\N")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_csv_default_reads_empty_as_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, " ")], "id int, a string")
+    snapshot_table(df, str(tmp_path / "t"))
+    back = read_csv_dir(spark, str(tmp_path / "t"), df.schema)
+    assert sorted(map(tuple, back.collect())) == [(1, None), (2, None), (3, " ")]
+
+
+def test_csv_keeps_numbers_and_times(spark, tmp_path):
+    rows = [
+        (1, 0.1 + 0.2, datetime(2026, 1, 1, 1, 2, 3, 456789), datetime(2026, 1, 1, 1, 2, 3, 456789), True),
+        (2, -1e-300, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "i long, d double, t timestamp, n timestamp_ntz, b boolean")
+    snapshot_table(df, str(tmp_path / "t"))
+    assert sorted(read_csv_dir(spark, str(tmp_path / "t"), df.schema).collect()) == sorted(df.collect())
+
+
+def test_limited_export_is_ordered(spark, tmp_path):
+    export_csv(spark.range(100).repartition(7), str(tmp_path / "t"), limit=5, order_by=["id"])
+    assert sorted(r["id"] for r in read_csv_dir(spark, str(tmp_path / "t"), spark.range(1).schema).collect()) == [
+        0, 1, 2, 3, 4,
+    ]
+
+
+def test_ordered_head_needs_an_order(spark):
+    with pytest.raises(ValueError):
+        ordered_head(spark.range(5), 3, [])
+
+
+def test_write_returns_what_was_written(spark, tmp_path):
+    path = str(tmp_path / "t")
+    written = write_parquet(spark.range(1000), path, partitions=3, metrics=[F.max("id").alias("top")])
+    assert written == {"rows": 1000, "top": 999}
+    assert spark.read.parquet(path).count() == 1000
+    assert len([f for f in (tmp_path / "t").iterdir() if f.suffix == ".parquet"]) == 3
+    assert write_parquet(spark.range(7), path)["rows"] == 7
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
+
+
+class _Cluster:
+    """A session on a cluster, as far as scratch_path looks at it."""
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+
+def test_scratch_on_a_cluster_needs_the_setting():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_Cluster, "x")

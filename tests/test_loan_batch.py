@@ -1,0 +1,146 @@
+import math
+
+import pytest
+
+from lendmill.operators import application_metrics, enrich_applications, overall_stats
+from lendmill.plans import run_loan_batch
+from lendmill.schemas import APPLICATIONS
+from lendmill.sources import read_csv_dir
+
+HEADER = ",".join(APPLICATIONS.names)
+
+
+def line(app, status, amount, region="R1", product="cash_loan", score="700"):
+    return (
+        f"{app},2026-05-01 10:00:00,cust_000001,{region},{product},{amount},12,{score},low,"
+        f"{status},0.0,web,true,30"
+    )
+
+
+EDGES = [
+    line("app_1", "approved", "999.99"),
+    line("", "APPROVED", "1000.0"),
+    line("app_3", "", ""),
+    line("app_4", "Approved", "1000.0"),
+    line("app_5", " approved", "200000.0"),
+    line("app_6", "approved", "NaN"),
+]
+
+
+@pytest.fixture
+def csv_dir(tmp_path):
+    folder = tmp_path / "input"
+    folder.mkdir()
+    (folder / "day1.csv").write_text("\n".join([HEADER, *EDGES[:3]]) + "\n")
+    (folder / "day2.csv").write_text("\n".join([HEADER, *EDGES[3:]]) + "\n")
+    (folder / "day3.csv").write_text(HEADER + "\n")
+    return str(folder)
+
+
+def test_edge_rows(spark, csv_dir):
+    df = enrich_applications(read_csv_dir(spark, csv_dir, APPLICATIONS), "2026-06-16")
+    got = {r["application_id"]: (r["is_approved"], r["amount_bucket"]) for r in df.collect()}
+    assert got == {
+        "app_1": (True, "micro"),
+        "app_3": (False, "xlarge"),
+        "app_4": (True, "small"),
+        "app_5": (False, "xlarge"),
+        "app_6": (True, "xlarge"),
+    }
+
+
+def test_clean_schema(spark, csv_dir):
+    df = enrich_applications(read_csv_dir(spark, csv_dir, APPLICATIONS), "2026-06-16")
+    assert df.columns == [*APPLICATIONS.names, "report_date", "is_approved", "amount_bucket"]
+    kinds = {f.name: (f.dataType.simpleString(), f.nullable) for f in df.schema}
+    assert kinds["report_date"] == ("string", False)
+    assert kinds["is_approved"] == ("boolean", False)
+    assert kinds["amount_bucket"] == ("string", False)
+    assert kinds["event_time"][0] == "timestamp"
+    assert kinds["employee_review_flag"][0] == "boolean"
+
+
+def test_inferred_types_match_the_schema(spark, csv_dir):
+    inferred = read_csv_dir(spark, csv_dir)
+    assert [(f.name, f.dataType) for f in inferred.schema] == [
+        (f.name, f.dataType) for f in APPLICATIONS
+    ]
+
+
+def test_swapped_columns_raise(spark, tmp_path):
+    swapped = HEADER.replace("region_code,product_type", "product_type,region_code")
+    (tmp_path / "a.csv").write_text("\n".join([swapped, EDGES[0]]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_dir(spark, str(tmp_path), APPLICATIONS).collect()
+
+
+def test_job(spark, csv_dir, tmp_path):
+    out = str(tmp_path / "out")
+    run = run_loan_batch(spark, csv_dir + "/", out + "/", "2026-06-16")
+    assert (run.loaded, run.total, run.approved, run.avg_score) == (6, 5, 3, 700.0)
+    clean = spark.read.parquet(run.clean_path)
+    assert clean.count() == 5
+    assert {r["report_date"] for r in clean.collect()} == {"2026-06-16"}
+    groups = {r["decision_status"]: r for r in spark.read.parquet(run.aggregated_path).collect()}
+    assert groups.keys() == {"approved", "Approved", " approved", None}
+    assert [groups["approved"][c] for c in ("total", "approved", "approval_rate")] == [2, 2, 100.0]
+    assert math.isnan(groups["approved"]["avg_requested"])
+    assert groups[None]["avg_requested"] is None
+
+
+def test_job_is_a_full_refresh(spark, csv_dir, tmp_path):
+    out = str(tmp_path / "out")
+    run_loan_batch(spark, csv_dir, out, "2026-06-16")
+    run = run_loan_batch(spark, csv_dir, out, "2026-06-17", clean_files=2, aggregated_files=1)
+    clean = spark.read.parquet(run.clean_path)
+    assert clean.count() == 5
+    assert {r["report_date"] for r in clean.collect()} == {"2026-06-17"}
+    files = [f for f in (tmp_path / "out" / "aggregated").iterdir() if f.suffix == ".parquet"]
+    assert len(files) == 1
+
+
+def test_job_on_empty_input(spark, tmp_path):
+    folder = tmp_path / "input"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + "\n")
+    run = run_loan_batch(spark, str(folder), str(tmp_path / "out"), "2026-06-16")
+    assert (run.loaded, run.total, run.approved, run.avg_score) == (0, 0, None, None)
+    assert spark.read.schema("total long").parquet(run.aggregated_path).count() == 0
+
+
+def test_stats_and_metrics_on_empty_input(spark):
+    empty = enrich_applications(spark.createDataFrame([], APPLICATIONS), "2026-06-16")
+    assert tuple(overall_stats(empty).first()) == (0, None, None)
+    assert application_metrics(empty).count() == 0
+
+
+def test_metrics_types(spark):
+    empty = enrich_applications(spark.createDataFrame([], APPLICATIONS), "2026-06-16")
+    schema = application_metrics(empty).schema
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("region_code", "string"),
+        ("product_type", "string"),
+        ("decision_status", "string"),
+        ("total", "bigint"),
+        ("approved", "bigint"),
+        ("avg_requested", "double"),
+        ("avg_score", "double"),
+        ("approval_rate", "double"),
+    ]
+    assert schema["total"].nullable is False
+
+
+@pytest.mark.parametrize("source, output, date", [("", "o", "d"), (None, "o", "d"), ("i", "", "d"), ("i", "o", "")])
+def test_missing_arguments(spark, source, output, date):
+    with pytest.raises(ValueError, match="missing"):
+        run_loan_batch(spark, source, output, date)
+
+
+def test_foreign_scheme(spark):
+    with pytest.raises(ValueError, match="s3a"):
+        run_loan_batch(spark, "s3a://b/in", "file:///out", "2026-06-16", schemes=["s3a"])
+
+
+def test_output_over_input(spark):
+    with pytest.raises(ValueError, match="same path"):
+        run_loan_batch(spark, "/data/clean", "/data", "2026-06-16")

@@ -1,0 +1,70 @@
+import pytest
+
+from lendmill.operators import count_by, flatten_messages, histogram, mean_by, share_by, synth_messages
+from lendmill.operators.messages import REGIONS
+from lendmill.plans import dashboard_charts, run_dashboard
+from lendmill.plans.dashboard import chart_base
+from lendmill.schemas import FLAT
+from lendmill.sinks import write_parquet
+
+
+def test_count_by_orders_ties_by_key(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "k string")
+    assert [tuple(r) for r in count_by(df, "k").collect()] == [("c", 2), (None, 1), ("a", 1), ("b", 1)]
+
+
+def test_share_sums_weights(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "k string, n long")
+    assert sorted(map(tuple, share_by(df, "k", weight="n").collect())) == [("a", 3, 75.0), ("b", 1, 25.0)]
+    assert sorted(map(tuple, share_by(df, "k").collect())) == [("a", 2, 66.67), ("b", 1, 33.33)]
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], "k string, v double")
+    for result in (count_by(empty, "k"), share_by(empty, "k"), mean_by(empty, "k", "v"), histogram(empty, "v", 5)):
+        assert result.count() == 0
+
+
+def test_mean_skips_nulls(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", None)], "k string, v double")
+    assert sorted(map(tuple, mean_by(df, "k", "v").collect())) == [("a", 1.0), ("b", None)]
+
+
+def test_histogram_bins(spark):
+    df = spark.createDataFrame([(-0.5,), (0.0,), (9.99,), (10.0,), (None,)], "v double")
+    got = {r["bin"]: r["cnt"] for r in histogram(df, "v", 10).collect()}
+    assert got == {-10: 1, 0: 2, 10: 1, None: 1}
+
+
+def test_dashboard_golden(spark, tmp_path):
+    flat = flatten_messages(synth_messages(spark.range(100_000)))
+    write_parquet(flat, str(tmp_path / "flat"))
+    paths = run_dashboard(spark, str(tmp_path / "flat"), str(tmp_path / "out"))
+
+    def chart(name):
+        return {r[0]: tuple(r)[1:] for r in spark.read.parquet(paths[name]).collect()}
+
+    assert chart("risk_share") == {
+        "low": (33_334, 33.33), "medium": (33_333, 33.33), "high": (33_333, 33.33),
+    }
+    assert chart("decision_count") == dict.fromkeys(
+        ["approved", "rejected", "manual_review", "pending"], (25_000,)
+    )
+    assert chart("region_mean") == {r: (25_026.0 + i,) for i, r in enumerate(REGIONS)}
+    assert chart("score_histogram") == {s: (154 if s < 900 else 153,) for s in range(350, 1000)}
+
+
+def test_charts_count_documents_and_skip_missing_amounts(spark):
+    rows = [("a", "R1", 10), ("a", "R1", 10), ("b", "R1", 40), ("c", "R2", None)]
+    flat = spark.createDataFrame(
+        [(i, "c", region, amount, 6, 400, "low", "p", "v", "approved", "t") for i, region, amount in rows], FLAT
+    )
+    charts = dashboard_charts(chart_base(flat))
+    assert charts["decision_count"].collect() == [("approved", 4)]
+    assert sorted(map(tuple, charts["region_mean"].collect())) == [("R1", 20.0), ("R2", None)]
+    assert charts["risk_share"].collect() == [("low", 4, 100.0)]
+
+
+def test_dashboard_over_its_input_raises(spark, tmp_path):
+    with pytest.raises(ValueError, match="same path"):
+        run_dashboard(spark, str(tmp_path), str(tmp_path))

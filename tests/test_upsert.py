@@ -1,0 +1,113 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from lendmill.operators import upsert_by_key
+from lendmill.plans import call_report, run_call_snapshot, run_call_upsert
+from lendmill.schemas import CALLS
+from lendmill.sources import read_csv_dir
+
+KEYS = st.none() | st.integers(0, 12)
+VALUES = st.none() | st.text("ab", max_size=2)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.dictionaries(KEYS, VALUES, max_size=12),
+    st.lists(st.tuples(KEYS, VALUES, st.none() | st.integers(0, 3)), max_size=25),
+)
+def test_ordered_upsert_matches_brute_force(spark, held, incoming):
+    merged = dict(held)
+    for key, value, version in sorted(
+        incoming, key=lambda r: ((r[2] is not None, r[2] or 0), (r[1] is not None, r[1] or ""))
+    ):
+        merged[key] = value
+    target = spark.createDataFrame(list(held.items()), "k int, v string")
+    batch = spark.createDataFrame(incoming, "k int, v string, version int")
+    got = upsert_by_key(target, batch, ["k"], order_by=["version"])
+    assert got.columns == ["k", "v"]
+    assert rows(got) == sorted(merged.items(), key=str)
+
+
+def test_shuffled_and_broadcast_joins_agree(spark):
+    target = spark.range(1000).selectExpr("id AS k", "'old' AS v")
+    batch = spark.range(500, 1500).selectExpr("id AS k", "'new' AS v")
+    want = sorted([(i, "old") for i in range(500)] + [(i, "new") for i in range(500, 1500)], key=str)
+    assert rows(upsert_by_key(target, batch, ["k"])) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(upsert_by_key(target, batch, ["k"])) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_empty_sides(spark):
+    some = spark.createDataFrame([(1, "a")], "k int, v string")
+    none = some.limit(0)
+    assert rows(upsert_by_key(some, none, ["k"])) == [(1, "a")]
+    assert rows(upsert_by_key(none, some, ["k"])) == [(1, "a")]
+
+
+def test_repeated_key_raises_without_order(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string")
+    with pytest.raises(Exception, match='key repeated in the batch: {"k":2}'):
+        upsert_by_key(target, batch, ["k"]).collect()
+    with pytest.raises(Exception, match="key repeated"):
+        upsert_by_key(target, batch, ["k"]).count()
+
+
+def test_composite_key_and_column_order(spark):
+    target = spark.createDataFrame([(1, "a", 10), (1, "b", 20)], "k int, kind string, v long")
+    batch = spark.createDataFrame([(99, "b", 1), (7, "c", 2)], "v int, kind string, k int")
+    got = upsert_by_key(target, batch, ["k", "kind"])
+    assert got.schema.simpleString() == target.schema.simpleString()
+    assert rows(got) == [(1, "a", 10), (1, "b", 99), (2, "c", 7)]
+
+
+def test_key_only_table(spark):
+    keys = spark.createDataFrame([(1,), (2,)], "k int")
+    assert rows(upsert_by_key(keys, spark.createDataFrame([(2,), (3,)], "k int"), ["k"])) == [
+        (1,), (2,), (3,),
+    ]
+
+
+def test_order_column_that_is_part_of_the_table(spark):
+    target = spark.createDataFrame([("a", 1, "x")], "k string, at int, v string")
+    batch = spark.createDataFrame([("a", 3, "y"), ("a", 2, "z")], "k string, at int, v string")
+    assert rows(upsert_by_key(target, batch, ["k"], order_by=["at"])) == [("a", 3, "y")]
+
+
+def test_unknown_key(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError, match="nope"):
+        upsert_by_key(df, df, ["nope"])
+
+
+def call(key, region, seconds=60):
+    return (key, "2026-01-01 00:00:00", "client_1000", region, "loan_offer", "answered", "interested", seconds, "true")
+
+
+def test_call_table_jobs(spark, tmp_path):
+    first, second, csv = (str(tmp_path / n) for n in ("v1", "v2", "csv"))
+    load = spark.createDataFrame([call("c1", "DE-HE"), call("c2", "DE-BY"), call("c3", "DE-BY")], CALLS)
+    change = spark.createDataFrame([call("c1", "FR-IDF", 90), call("c4", "DE-HE")], CALLS)
+    assert run_call_upsert(spark, None, load, first) == 3
+    assert run_call_upsert(spark, first, change, second) == 4
+    report = call_report(spark.read.parquet(second))
+    assert report["total_rows"].collect() == [(4,)]
+    assert [r["call_id"] for r in report["preview"].collect()] == ["c1", "c2", "c3", "c4"]
+    assert [tuple(r) for r in report["calls_by_region"].collect()] == [
+        ("DE-BY", 2), ("DE-HE", 1), ("FR-IDF", 1),
+    ]
+    run_call_snapshot(spark, second, csv)
+    assert rows(read_csv_dir(spark, csv, CALLS)) == rows(spark.read.parquet(second))
+
+
+def test_upsert_over_its_own_input_raises(spark, tmp_path):
+    with pytest.raises(ValueError, match="same path"):
+        run_call_upsert(spark, str(tmp_path), spark.createDataFrame([], CALLS), f"{tmp_path}/")
