@@ -409,7 +409,7 @@ def csv_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked("SELECT * FROM lineitem")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, path = load(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")
-    write_parquet(lineitem, path, partitions=2)
+    write_parquet(lineitem, path, files=2)
     return read_parquet_table(spark, path, lineitem.schema)
 
 

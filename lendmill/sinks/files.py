@@ -22,18 +22,22 @@ CSV_WRITE = CSV_DIALECT | {
 def write_parquet(
     df: DataFrame,
     path: str,
-    partitions: int | None = None,
+    files: int | None = None,
+    *,
+    shuffle: bool = True,
     metrics: Sequence[Column] = (),
 ) -> dict[str, object]:
     """Overwrite a Parquet table; returns the number of rows and any further metrics.
 
     The figures are taken from the rows as they are written, in the writing
     stage itself: no second pass, and a task that is repeated counts once.
-    ``partitions`` sets the number of files at the price of a shuffle; left out,
-    each task writes its own.
+
+    Left alone, each task writes a file. ``files`` sets their number: with a
+    shuffle, which suits a small result of a wide stage, or without one by giving
+    each task several input splits, which suits a large narrow stage.
     """
-    if partitions is not None:
-        df = df.repartition(partitions)
+    if files is not None:
+        df = df.repartition(files) if shuffle else df.coalesce(files)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics).write.mode("overwrite").parquet(path)
     return seen.get

@@ -56,10 +56,12 @@ def test_ordered_head_needs_an_order(spark):
 
 def test_write_returns_what_was_written(spark, tmp_path):
     path = str(tmp_path / "t")
-    written = write_parquet(spark.range(1000), path, partitions=3, metrics=[F.max("id").alias("top")])
+    written = write_parquet(spark.range(1000), path, files=3, metrics=[F.max("id").alias("top")])
     assert written == {"rows": 1000, "top": 999}
     assert spark.read.parquet(path).count() == 1000
     assert len([f for f in (tmp_path / "t").iterdir() if f.suffix == ".parquet"]) == 3
+    assert write_parquet(spark.range(1000, numPartitions=8), path, files=2, shuffle=False)["rows"] == 1000
+    assert len([f for f in (tmp_path / "t").iterdir() if f.suffix == ".parquet"]) == 2
     assert write_parquet(spark.range(7), path)["rows"] == 7
     assert spark.read.parquet(path).count() == 7
 
