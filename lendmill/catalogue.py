@@ -8,6 +8,7 @@ mixed-case and blank-prefixed statuses by value, so that every rule fires.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +42,19 @@ from lendmill.plans import (
     run_dashboard,
     run_flatten_batch,
     run_flatten_stream,
+    run_keyed_upsert,
     run_loan_batch,
     run_publish,
 )
 from lendmill.plans.dashboard import chart_base
 from lendmill.schemas import APPLICATIONS, CALLS, FLAT, MESSAGE_LAYOUT, table
-from lendmill.sinks import export_csv, snapshot_table, write_messages, write_parquet
+from lendmill.sinks import (
+    export_csv,
+    snapshot_table,
+    write_keyed_table,
+    write_messages,
+    write_parquet,
+)
 from lendmill.sources import (
     MessageDir,
     read_csv_dir,
@@ -453,6 +461,31 @@ def upsert_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@checked(
+    """SELECT o_orderkey AS account, CASE WHEN l_orderkey IS NULL THEN o_orderstatus ELSE 'billed' END AS state,
+      CASE WHEN l_orderkey IS NULL THEN 0 ELSE lines END AS lines
+    FROM orders FULL JOIN (SELECT l_orderkey, count(*) AS lines FROM lineitem GROUP BY 1)
+      ON l_orderkey = o_orderkey"""
+)
+def upsert_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a bucketed table; each order that has line items is replaced by their number."""
+    held, merged = (f"accounts_{uuid.uuid4().hex}" for _ in range(2))
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS account", "o_orderstatus AS state", "CAST(0 AS BIGINT) AS lines"
+    )
+    billed = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("account")).agg(
+        F.lit("billed").alias("state"), F.count(F.lit(1)).alias("lines")
+    )
+    keys, buckets = ["account"], 8
+    write_keyed_table(orders, held, scratch_path(spark, "accounts"), keys, buckets)
+    path = scratch_path(spark, "accounts")
+    run_keyed_upsert(spark, held, billed, merged, path, keys=keys, buckets=buckets)
+    result = spark.table(merged)
+    for name in (held, merged):
+        spark.sql(f"DROP TABLE {name}")
+    return read_parquet_table(spark, path, result.schema)
+
+
 @checked(CALLS_SQL.format(orders="orders"))
 def call_upsert_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First load without the pending calls, then all calls, then the CSV snapshot."""

@@ -88,7 +88,7 @@ def call_upsert(spark: SparkSession, args: argparse.Namespace) -> object:
 
 
 def call_queries(spark: SparkSession, args: argparse.Namespace) -> object:
-    for frame in call_report(read_parquet_table(spark, args.table, CALLS), args.view).values():
+    for frame in call_report(read_parquet_table(spark, args.table, CALLS)).values():
         frame.show(truncate=False)
     return {"table": args.table}
 
@@ -137,8 +137,7 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("call-upsert", call_upsert, "batch", "output", help=run_call_upsert.__doc__)
     sub.add_argument("--current")
-    sub = job("call-report", call_queries, "table", help=call_report.__doc__)
-    sub.add_argument("--view", default="calls")
+    job("call-report", call_queries, "table", help=call_report.__doc__)
     job("call-snapshot", call_snapshot, "table", "csv", help=run_call_snapshot.__doc__)
     return top
 

@@ -6,14 +6,17 @@ rows costs one partial row per task in the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.functions import percent
 
+# Keys and names of the application figures.
 METRIC_KEYS = ("region_code", "product_type", "decision_status")
+METRIC_MEANS = {"avg_requested": "requested_amount", "avg_score": "credit_score"}
+STAT_MEANS = {"avg_score": "credit_score"}
 
 
 def _rows(weight: str | None) -> Column:
@@ -57,33 +60,33 @@ def histogram(
     return df.groupBy(edge.alias("bin")).agg(_rows(weight).alias(name))
 
 
-def application_metrics(df: DataFrame, keys: Sequence[str] = METRIC_KEYS) -> DataFrame:
-    """Applications, approvals, mean amount, mean score and approval rate per key.
+def figures(means: Mapping[str, str], flag: str = "is_approved") -> list[Column]:
+    """Rows, rows with the flag and means, to select, to group or to observe during a write.
 
-    With the decision among the keys the rate is 0 or 100 in every group; leave
-    it out for a rate that says something.
+    ``means`` maps a result name to the column averaged. Over no rows all but the
+    first are null.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.sum(F.col("is_approved").cast("int")).alias("approved"),
-            F.avg("requested_amount").alias("avg_requested"),
-            F.avg("credit_score").alias("avg_score"),
-        )
-        .withColumn("approval_rate", percent("approved", "total"))
-    )
-
-
-def stat_columns() -> list[Column]:
-    """The global figures as aggregates, to select or to observe during a write."""
     return [
         F.count(F.lit(1)).alias("total"),
-        F.sum(F.col("is_approved").cast("int")).alias("approved"),
-        F.avg("credit_score").alias("avg_score"),
+        F.sum(F.col(flag).cast("long")).alias("approved"),
+        *[F.avg(value).alias(name) for name, value in means.items()],
     ]
 
 
-def overall_stats(df: DataFrame) -> DataFrame:
-    """One row with the global figures; on empty input 0, null and null."""
-    return df.agg(*stat_columns())
+def application_metrics(
+    df: DataFrame,
+    keys: Sequence[str] = METRIC_KEYS,
+    means: Mapping[str, str] = METRIC_MEANS,
+) -> DataFrame:
+    """Applications, approvals, means and approval rate in percent per key.
+
+    With the decision among the keys the rate is 0 or 100 in every group; leave
+    it out for a rate that says something.
+    """
+    grouped = df.groupBy(*keys).agg(*figures(means))
+    return grouped.withColumn("approval_rate", percent("approved", "total"))
+
+
+def overall_stats(df: DataFrame, means: Mapping[str, str] = STAT_MEANS) -> DataFrame:
+    """One row with the global figures; on empty input 0 and nulls."""
+    return df.agg(*figures(means))

@@ -9,9 +9,11 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A top-n merges at most n rows of each partition in one task. Capping the number
-# of partitions keeps that task small when the input has millions of splits.
-MERGE_FAN_IN = 10_000
+# One task merges the first n rows of every partition. With millions of input
+# splits that task would dominate, so splits are grouped until it gets about this
+# many rows, yet never into fewer than LEAST_PARTITIONS.
+MERGED_ROWS = 50_000_000
+LEAST_PARTITIONS = 1_000
 
 
 def require_key(df: DataFrame, *columns: str) -> DataFrame:
@@ -30,4 +32,5 @@ def ordered_head(df: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame
     """The first ``rows`` rows in the given order: a distributed top-n, no full sort."""
     if not order_by:
         raise ValueError("a limited extract needs an order, or its rows may vary")
-    return df.coalesce(MERGE_FAN_IN).orderBy(*order_by).limit(rows)
+    partitions = max(LEAST_PARTITIONS, MERGED_ROWS // max(rows, 1))
+    return df.coalesce(partitions).orderBy(*order_by).limit(rows)

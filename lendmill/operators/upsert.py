@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,38 +15,37 @@ def upsert_by_key(
     batch: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
+    *,
+    null_keys: bool = True,
 ) -> DataFrame:
     """``target`` with the rows of ``batch`` put in, replacing rows of the same key.
 
     ``target`` holds each key once. With ``order_by`` the batch may repeat a key:
     the row with the largest order columns wins, then the one with the largest
     remaining columns. Without it a repeated key raises. Order columns that
-    ``target`` lacks are dropped. A null key is a key like any other.
+    ``target`` lacks are dropped.
+
+    A null key is a key like any other. With ``null_keys=False`` it raises, and the
+    join is on plain equality, which lets a target bucketed by its key stay in place.
 
     The batch is reduced per key on the map side before it is shuffled, so a hot
     key costs one row per task. The target stays where it is while the batch keys
-    are below ``spark.sql.autoBroadcastJoinThreshold``, and is shuffled by key
-    beyond that.
+    are below ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled
+    by key unless bucketed.
     """
     if missing := [k for k in keys if k not in target.columns]:
         raise ValueError(f"keys {missing} are not columns of the target")
     wanted = [c for c in target.columns if c not in keys]
     ranked = list(order_by) + [c for c in wanted if c not in order_by]
 
-    newest = (
-        batch.groupBy(*keys)
-        .agg(
-            F.max(F.struct(*ranked)).alias("row") if ranked else F.lit(None).alias("row"),
-            F.count(F.lit(1)).alias("copies"),
-        )
+    if not null_keys:
+        batch = batch.withColumns({k: _required(k) for k in keys})
+    newest = batch.groupBy(*keys).agg(
+        F.max(F.struct(*ranked)).alias("row") if ranked else F.lit(None).alias("row"),
+        F.count(F.lit(1)).alias("copies"),
     )
     if not order_by:
-        repeated = F.concat(
-            F.lit("key repeated in the batch: "), F.to_json(F.struct(*keys))
-        )
-        newest = newest.where(
-            F.when(F.col("copies") > 1, F.raise_error(repeated)).otherwise(True).cast("boolean")
-        )
+        newest = newest.where(_raise_if(F.col("copies") > 1, "key repeated in the batch", keys))
     incoming = newest.select(
         *[
             (F.col(f.name) if f.name in keys else F.col("row")[f.name])
@@ -57,5 +56,22 @@ def upsert_by_key(
     )
 
     touched = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    same_key = reduce(
+        and_,
+        [
+            F.col(k).eqNullSafe(F.col(f"_{k}")) if null_keys else F.col(k) == F.col(f"_{k}")
+            for k in keys
+        ],
+    )
     return target.join(touched, same_key, "left_anti").unionByName(incoming)
+
+
+def _raise_if(test: Column, message: str, keys: Sequence[str]) -> Column:
+    """True for every row that does not raise."""
+    text = F.concat(F.lit(f"{message}: "), F.to_json(F.struct(*keys)))
+    return F.when(test, F.raise_error(text)).otherwise(True).cast("boolean")
+
+
+def _required(key: str) -> Column:
+    missing = F.raise_error(F.lit(f"null in key column {key}"))
+    return F.when(F.col(key).isNull(), missing).otherwise(F.col(key))

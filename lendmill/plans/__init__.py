@@ -1,4 +1,4 @@
-from lendmill.plans.call_table import call_report, run_call_snapshot, run_call_upsert
+from lendmill.plans.call_table import call_report, run_call_snapshot, run_call_upsert, run_keyed_upsert
 from lendmill.plans.dashboard import dashboard_charts, run_dashboard
 from lendmill.plans.loan_batch import LoanBatchResult, run_loan_batch
 from lendmill.plans.message_flow import (
@@ -18,6 +18,7 @@ __all__ = [
     "run_dashboard",
     "run_flatten_batch",
     "run_flatten_stream",
+    "run_keyed_upsert",
     "run_loan_batch",
     "run_publish",
 ]

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lendmill.operators import upsert_by_key
-from lendmill.operators.rows import MERGE_FAN_IN
+from lendmill.operators import count_by, ordered_head, upsert_by_key
 from lendmill.plans.paths import check_distinct, check_path
 from lendmill.schemas import CALLS, CALLS_KEY
-from lendmill.sinks import snapshot_table, write_parquet
-from lendmill.sources import read_parquet_table, register_table
+from lendmill.sinks import snapshot_table, write_keyed_table, write_parquet
+from lendmill.sources import read_parquet_table
 
 PREVIEW_ROWS = 10
 
@@ -38,19 +38,31 @@ def run_call_upsert(
     return write_parquet(merged, output_path)["rows"]
 
 
-def call_report(calls: DataFrame, view: str = "calls", key: str = "call_id") -> dict[str, DataFrame]:
-    """The three report queries over the table by its name."""
-    register_table(calls, view)
-    spark = calls.sparkSession
+def run_keyed_upsert(
+    spark: SparkSession,
+    table: str,
+    batch: DataFrame,
+    output_table: str,
+    output_path: str,
+    *,
+    keys: Sequence[str] = CALLS_KEY,
+    buckets: int,
+    order_by: Sequence[str] = (),
+) -> None:
+    """The same for a catalog table bucketed by key, which even a large batch leaves in place."""
+    if table == output_table:
+        raise ValueError(f"table and output_table are the same: {table}")
+    output_path = check_path("output_path", output_path)
+    merged = upsert_by_key(spark.table(table), batch, keys, order_by, null_keys=False)
+    write_keyed_table(merged, output_table, output_path, keys, buckets)
+
+
+def call_report(calls: DataFrame) -> dict[str, DataFrame]:
+    """Number of calls, first calls by key, calls per region."""
     return {
-        "total_rows": spark.sql(f"SELECT count(*) AS total_rows FROM {view}"),
-        "preview": spark.sql(
-            f"SELECT /*+ COALESCE({MERGE_FAN_IN}) */ * FROM {view} ORDER BY {key} LIMIT {PREVIEW_ROWS}"
-        ),
-        "calls_by_region": spark.sql(
-            f"SELECT region_code, count(*) AS cnt FROM {view} "
-            "GROUP BY region_code ORDER BY cnt DESC, region_code"
-        ),
+        "total_rows": calls.agg(F.count(F.lit(1)).alias("total_rows")),
+        "preview": ordered_head(calls, PREVIEW_ROWS, CALLS_KEY),
+        "calls_by_region": count_by(calls, "region_code"),
     }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.operators import application_metrics, enrich_applications
-from lendmill.operators.metrics import METRIC_KEYS, stat_columns
+from lendmill.operators.metrics import METRIC_KEYS, STAT_MEANS, figures
 from lendmill.plans.paths import check_distinct, check_path
 from lendmill.schemas import APPLICATIONS
 from lendmill.sinks import write_parquet
@@ -57,7 +57,7 @@ def run_loan_batch(
     )
     clean = enrich_applications(applications, report_date)
     stats = write_parquet(
-        clean, clean_path, clean_files, shuffle=False, metrics=stat_columns()
+        clean, clean_path, clean_files, shuffle=False, metrics=figures(STAT_MEANS)
     )
 
     written = read_parquet_table(spark, clean_path, clean.schema)

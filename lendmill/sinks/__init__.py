@@ -1,4 +1,4 @@
-from lendmill.sinks.files import export_csv, snapshot_table, write_parquet
+from lendmill.sinks.files import export_csv, snapshot_table, write_keyed_table, write_parquet
 from lendmill.sinks.messages import write_messages
 
-__all__ = ["export_csv", "snapshot_table", "write_messages", "write_parquet"]
+__all__ = ["export_csv", "snapshot_table", "write_keyed_table", "write_messages", "write_parquet"]

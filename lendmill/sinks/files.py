@@ -43,6 +43,20 @@ def write_parquet(
     return seen.get
 
 
+def write_keyed_table(
+    df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int
+) -> None:
+    """Overwrite a Parquet table of the catalog, bucketed and sorted by its key.
+
+    Rows that already lie in these buckets are written where they are, so putting
+    an upsert's result here does not shuffle the old rows. Set
+    ``spark.sql.shuffle.partitions`` to ``buckets`` and the new rows add one file
+    per bucket.
+    """
+    writer = df.write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def export_csv(
     df: DataFrame,
     path: str,
