@@ -16,7 +16,7 @@ def upsert_by_key(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     *,
-    null_keys: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``target`` with the rows of ``batch`` put in, replacing rows of the same key.
 
@@ -25,10 +25,11 @@ def upsert_by_key(
     remaining columns. Without it a repeated key raises. Order columns that
     ``target`` lacks are dropped.
 
-    A null key is a key like any other. With ``null_keys=False`` it raises, and the
-    join is on plain equality, which lets a target bucketed by its key stay in place.
+    A null key is a key like any other. For a target bucketed by its key, ``buckets``
+    keeps the old rows in place and lays the new ones out alike; a null key raises.
 
-    The batch is reduced per key on the map side before it is shuffled, so a hot
+    The batch is read twice, once for its keys only, so it must not change meanwhile:
+    write rows from a topic to a table first. It is reduced per key on the map side before it is shuffled, so a hot
     key costs one row per task. The target stays where it is while the batch keys
     are below ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled
     by key unless bucketed.
@@ -38,7 +39,7 @@ def upsert_by_key(
     wanted = [c for c in target.columns if c not in keys]
     ranked = list(order_by) + [c for c in wanted if c not in order_by]
 
-    if not null_keys:
+    if buckets is not None:
         batch = batch.withColumns({k: _required(k) for k in keys})
     newest = batch.groupBy(*keys).agg(
         F.max(F.struct(*ranked)).alias("row") if ranked else F.lit(None).alias("row"),
@@ -55,11 +56,14 @@ def upsert_by_key(
         ]
     )
 
+    if buckets is not None:
+        incoming = incoming.repartition(buckets, *keys)
+
     touched = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
     same_key = reduce(
         and_,
         [
-            F.col(k).eqNullSafe(F.col(f"_{k}")) if null_keys else F.col(k) == F.col(f"_{k}")
+            F.col(k).eqNullSafe(F.col(f"_{k}")) if buckets is None else F.col(k) == F.col(f"_{k}")
             for k in keys
         ],
     )

@@ -49,12 +49,15 @@ def run_keyed_upsert(
     buckets: int,
     order_by: Sequence[str] = (),
 ) -> None:
-    """The same for a catalog table bucketed by key, which even a large batch leaves in place."""
+    """The same for a catalog table bucketed by key, which even a large batch leaves in place.
+
+    One task rewrites one bucket: take enough ``buckets`` for the size of the table.
+    """
     if table == output_table:
         raise ValueError(f"table and output_table are the same: {table}")
     output_path = check_path("output_path", output_path)
-    merged = upsert_by_key(spark.table(table), batch, keys, order_by, null_keys=False)
-    write_keyed_table(merged, output_table, output_path, keys, buckets)
+    merged = upsert_by_key(spark.table(table), batch, keys, order_by, buckets=buckets)
+    write_keyed_table(merged, output_table, output_path, keys, buckets, in_place=True)
 
 
 def call_report(calls: DataFrame) -> dict[str, DataFrame]:

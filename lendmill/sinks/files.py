@@ -44,15 +44,21 @@ def write_parquet(
 
 
 def write_keyed_table(
-    df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int
+    df: DataFrame,
+    name: str,
+    path: str,
+    keys: Sequence[str],
+    buckets: int,
+    *,
+    in_place: bool = False,
 ) -> None:
     """Overwrite a Parquet table of the catalog, bucketed and sorted by its key.
 
-    Rows that already lie in these buckets are written where they are, so putting
-    an upsert's result here does not shuffle the old rows. Set
-    ``spark.sql.shuffle.partitions`` to ``buckets`` and the new rows add one file
-    per bucket.
+    Rows are shuffled so that one task writes each bucket. ``in_place`` skips that
+    for rows that lie in these buckets already, such as the result of an upsert.
     """
+    if not in_place:
+        df = df.repartition(buckets, *keys)
     writer = df.write.mode("overwrite").option("path", path)
     writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 

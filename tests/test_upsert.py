@@ -128,18 +128,24 @@ def keyed(spark, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
+def bucket_files(folder):
+    return len([f for f in folder.iterdir() if f.suffix == ".parquet"])
+
+
 def test_bucketed_target_is_not_shuffled(spark, keyed, tmp_path):
     target = keyed(spark.range(1000).selectExpr("id AS k", "'old' AS v"), "held")
     batch = spark.range(500, 1500).selectExpr("id AS k", "'new' AS v")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = upsert_by_key(target, batch, ["k"], null_keys=False)
+        merged = upsert_by_key(target, batch, ["k"], buckets=4)
+        assert bucket_files(tmp_path / "held") == 4
         text = merged._jdf.queryExecution().executedPlan().toString()
         before, after = text.split("Scan parquet")[0], text.split("Scan parquet")[1]
         assert "SortMergeJoin" in before and "Exchange" not in before and "Exchange" in after
         run_keyed_upsert(spark, "held", batch, "merged", str(tmp_path / "merged"), keys=["k"], buckets=4)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert bucket_files(tmp_path / "merged") <= 8
     want = sorted([(i, "old") for i in range(500)] + [(i, "new") for i in range(500, 1500)], key=str)
     assert rows(merged) == rows(spark.table("merged")) == want
     spark.sql("DROP TABLE merged")
@@ -149,7 +155,7 @@ def test_null_key_raises_where_excluded(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     batch = spark.createDataFrame([(None, "x")], "k int, v string")
     with pytest.raises(Exception, match="null in key column k"):
-        upsert_by_key(target, batch, ["k"], null_keys=False).collect()
+        upsert_by_key(target, batch, ["k"], buckets=4).collect()
 
 
 def test_keyed_upsert_onto_itself_raises(spark, tmp_path):
