@@ -29,10 +29,11 @@ def upsert_by_key(
     keeps the old rows in place and lays the new ones out alike; a null key raises.
 
     The batch is read twice, once for its keys only, so it must not change meanwhile:
-    write rows from a topic to a table first. It is reduced per key on the map side before it is shuffled, so a hot
-    key costs one row per task. The target stays where it is while the batch keys
-    are below ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled
-    by key unless bucketed.
+    write rows from a topic to a table first. It is reduced per key on the map side
+    before it is shuffled, so a hot key costs one row per task. The target stays
+    where it is while the batch keys are below
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled by key
+    unless bucketed.
     """
     if missing := [k for k in keys if k not in target.columns]:
         raise ValueError(f"keys {missing} are not columns of the target")
