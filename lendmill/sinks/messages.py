@@ -16,7 +16,8 @@ def write_messages(messages: DataFrame, sink: MessageSource) -> None:
     """
     bodies = messages.select("value")
     if isinstance(sink, Topic):
-        bodies.write.format("kafka").options(**sink.write_options()).save()
+        writer = bodies.write.format(sink.connector).options(**sink.write_options())
+        writer.mode("append").save()
     else:
         present = bodies.where(F.col("value").isNotNull())
         present.write.mode("append").option("lineSep", "\n").text(sink.path)

@@ -17,10 +17,12 @@ class Topic:
 
     Reading takes one task per topic partition; ``minPartitions`` in ``options``
     splits large partitions further, ``maxOffsetsPerTrigger`` bounds a micro-batch.
+    ``connector`` names the Spark data source.
     """
 
     name: str
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
+    connector: str = "kafka"
 
     def read_options(self) -> dict[str, str]:
         return {"subscribe": self.name, "startingOffsets": "earliest", **self.options}
@@ -54,5 +56,6 @@ def message_body(raw: DataFrame) -> DataFrame:
 def read_messages(spark: SparkSession, source: MessageSource) -> DataFrame:
     """Everything the source holds, from its beginning to its end at the start of the job."""
     if isinstance(source, Topic):
-        return message_body(spark.read.format("kafka").options(**source.read_options()).load())
+        reader = spark.read.format(source.connector).options(**source.read_options())
+        return message_body(reader.load())
     return message_body(spark.read.format("text").options(**source.read_options()).load(source.path))

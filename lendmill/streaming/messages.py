@@ -13,7 +13,7 @@ from lendmill.sources.messages import MessageSource, Topic, message_body
 def read_message_stream(spark: SparkSession, source: MessageSource) -> DataFrame:
     """The source as a stream, from its beginning; later runs go on from the checkpoint."""
     if isinstance(source, Topic):
-        stream = spark.readStream.format("kafka").options(**source.read_options())
+        stream = spark.readStream.format(source.connector).options(**source.read_options())
         return message_body(stream.load())
     stream = spark.readStream.format("text").options(**source.stream_options())
     return message_body(stream.load(source.path))
