@@ -47,7 +47,7 @@ from lendmill.plans import (
     run_publish,
 )
 from lendmill.plans.dashboard import chart_base
-from lendmill.schemas import APPLICATIONS, CALLS, FLAT, MESSAGE_LAYOUT, table
+from lendmill.schemas import CALLS, FLAT, MESSAGE_LAYOUT, table
 from lendmill.sinks import (
     export_csv,
     snapshot_table,
@@ -230,6 +230,18 @@ def count_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(load(spark, sf_dir, "orders"), "o_orderpriority")
 
 
+@checked(
+    f"""SELECT region_code, call_status, count(*) AS cnt, sum(duration_sec)::BIGINT AS seconds
+    FROM ({CALLS_SQL.format(orders='orders')}) GROUP BY ALL"""
+)
+def calls_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_table(calls(spark, sf_dir), "call_table")
+    return spark.sql(
+        "SELECT region_code, call_status, count(*) AS cnt, sum(duration_sec) AS seconds "
+        "FROM call_table GROUP BY region_code, call_status"
+    )
+
+
 @checked(
     f"SELECT region_code, count(*) AS cnt FROM ({CALLS_SQL.format(orders='orders')}) GROUP BY 1"
 )
@@ -558,7 +570,7 @@ def flatten_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
-    "SELECT CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS INT) END AS k, "
+    "SELECT CASE WHEN event_type != 'error' THEN CAST(json_extract(props, '$.k') AS INT) END AS k, "
     "CASE WHEN event_type = 'error' THEN '{' || props END AS raw FROM events"
 )
 def flatten_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,9 @@ here shuffles.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -78,19 +79,23 @@ def flatten_messages(
         F.from_json(body, schema, options).alias("message")
     )
     if array := array_path(layout):
-        elements = F.col(".".join(("message", *array)))
+        elements = _field("message", array)
         rows = rows.select("message", F.explode_outer(elements).alias("element"))
 
-    paths = {
-        leaf.column: ".".join(("element" if leaf.in_array else "message", *leaf.path))
+    fields = {
+        leaf.column: _field("element" if leaf.in_array else "message", leaf.path)
         for leaf in layout_leaves(layout)
     }
-    picked = [F.col(paths[c]).alias(c) for c in (columns or paths)]
+    picked = [fields[c].alias(c) for c in (columns or fields)]
     if corrupt_column is not None:
-        picked.append(F.col(f"message.{corrupt_column}").alias(corrupt_column))
+        picked.append(_field("message", [corrupt_column]).alias(corrupt_column))
     return rows.select(*picked)
 
 
+def _field(root: str, path: Sequence[str]) -> Column:
+    return reduce(lambda column, name: column[name], path, F.col(root))
+
+
 def synth_applications(ids: DataFrame, id_column: str = "id") -> DataFrame:
     """One flat application per number, each field a function of that number."""
     n = F.col(id_column).cast("long")

@@ -12,7 +12,6 @@ from lendmill.sinks import write_parquet
 from lendmill.sources import read_parquet_table
 
 CHART_KEYS = ("risk_level", "decision_status", "region", "score")
-CHARTS = ("risk_share", "decision_count", "region_mean", "score_histogram")
 
 
 def chart_base(flat: DataFrame) -> DataFrame:
@@ -33,9 +32,7 @@ def dashboard_charts(base: DataFrame) -> dict[str, DataFrame]:
         F.sum("amount").alias("amount"), F.sum("amounts").alias("amounts")
     )
     # A region without any amount has the sum null, which makes the mean null.
-    mean = amounts.select(
-        "region", F.try_divide("amount", "amounts").alias("mean_amount")
-    )
+    mean = amounts.select("region", F.try_divide("amount", "amounts").alias("mean_amount"))
     return {
         "risk_share": share_by(base, "risk_level", weight="rows"),
         "decision_count": count_by(base, "decision_status", weight="rows"),

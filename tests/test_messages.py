@@ -204,3 +204,18 @@ def test_topic_options_come_from_the_caller():
     assert topic.write_options()["topic"] == "loans"
     assert "startingOffsets" not in topic.write_options()
     assert "secret" not in repr(topic)
+
+
+def test_field_names_with_dots(spark):
+    layout = {"a.b": {"c.d": "x"}, "e.f": [{"g.h": "y"}]}
+    types = table(x=IntegerType(), y=StringType())
+    packed = pack_messages(spark.createDataFrame([(1, "z")], "x int, y string"), layout)
+    assert json.loads(packed.first()["value"]) == {"a.b": {"c.d": 1}, "e.f": [{"g.h": "z"}]}
+    assert [tuple(r) for r in flatten_messages(packed, layout, types).collect()] == [(1, "z")]
+
+
+def test_one_message_may_hold_many_documents(spark):
+    documents = [{"type": f"t{i}", "status": "s"} for i in range(100_000)]
+    body = json.dumps({"application_id": "a", "documents": documents})
+    flat = flatten_messages(one(spark, body))
+    assert flat.agg(F.count("*"), F.countDistinct("doc_type")).first() == (100_000, 100_000)
