@@ -23,12 +23,12 @@ from lendmill.operators import (
     flatten_messages,
     histogram,
     mean_by,
-    ordered_head,
     overall_stats,
     pack_messages,
     require_key,
     share_by,
     stamp,
+    stored_head,
     synth_messages,
     upsert_by_key,
 )
@@ -220,7 +220,7 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @checked("SELECT * FROM orders ORDER BY o_orderkey LIMIT 10")
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordered_head(load(spark, sf_dir, "orders"), 10, ["o_orderkey"])
+    return stored_head(load(spark, sf_dir, "orders"), 10, ["o_orderkey"])
 
 
 @checked(
@@ -608,6 +608,14 @@ def flatten_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet_table(spark, path, FLAT)
 
 
+@checked(f"{FLATTENED} SELECT * FROM flat ORDER BY ALL NULLS FIRST LIMIT 1000")
+def flatten_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ordered extract that the batch job leaves beside the flat table."""
+    source, extract = order_message_dir(spark, sf_dir), scratch_path(spark, "extract")
+    run_flatten_batch(spark, source, scratch_path(spark, "flat"), extract)
+    return read_csv_dir(spark, extract, FLAT)
+
+
 @checked(f"{FLATTENED} SELECT * FROM flat")
 def flatten_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, path = order_message_dir(spark, sf_dir), scratch_path(spark, "flat")

@@ -8,7 +8,7 @@ from lendmill.operators.metrics import (
     overall_stats,
     share_by,
 )
-from lendmill.operators.rows import ordered_head, require_key, stamp
+from lendmill.operators.rows import ordered_head, require_key, stamp, stored_head
 from lendmill.operators.upsert import upsert_by_key
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "require_key",
     "share_by",
     "stamp",
+    "stored_head",
     "synth_applications",
     "synth_messages",
     "upsert_by_key",

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 MERGED_ROWS = 50_000_000
 LEAST_PARTITIONS = 1_000
 
+NO_ORDER = "a limited extract needs an order, or its rows may vary"
+
 
 def require_key(df: DataFrame, *columns: str) -> DataFrame:
     """Rows whose key columns are all set."""
@@ -31,6 +33,23 @@ def stamp(df: DataFrame, name: str, value: object) -> DataFrame:
 def ordered_head(df: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``rows`` rows in the given order: a distributed top-n, no full sort."""
     if not order_by:
-        raise ValueError("a limited extract needs an order, or its rows may vary")
+        raise ValueError(NO_ORDER)
     partitions = max(LEAST_PARTITIONS, MERGED_ROWS // max(rows, 1))
     return df.coalesce(partitions).orderBy(*order_by).limit(rows)
+
+
+def stored_head(table: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
+    """``ordered_head`` of a stored columnar table, reading the other columns only where needed.
+
+    A first pass over the leading order column alone finds its largest value among
+    the first rows. That bound is pushed into the scan of the second pass, which
+    skips all row groups and pages that lie beyond it.
+    """
+    if not order_by:
+        raise ValueError(NO_ORDER)
+    leading = order_by[0]
+    first = ordered_head(table.select(leading), rows, [leading])
+    bound = first.agg(F.max(leading)).scalar()
+    # Nulls sort first and stay in; with nothing but nulls the bound is null too.
+    within = F.col(leading).isNull() | (F.col(leading) <= bound)
+    return ordered_head(table.where(within), rows, order_by)

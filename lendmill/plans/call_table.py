@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendmill.operators import count_by, ordered_head, upsert_by_key
+from lendmill.operators import count_by, stored_head, upsert_by_key
 from lendmill.plans.paths import check_distinct, check_path
 from lendmill.schemas import CALLS, CALLS_KEY
 from lendmill.sinks import snapshot_table, write_keyed_table, write_parquet
@@ -64,7 +64,7 @@ def call_report(calls: DataFrame) -> dict[str, DataFrame]:
     """Number of calls, first calls by key, calls per region."""
     return {
         "total_rows": calls.agg(F.count(F.lit(1)).alias("total_rows")),
-        "preview": ordered_head(calls, PREVIEW_ROWS, CALLS_KEY),
+        "preview": stored_head(calls, PREVIEW_ROWS, CALLS_KEY),
         "calls_by_region": count_by(calls, "region_code"),
     }
 

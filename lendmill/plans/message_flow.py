@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.operators import flatten_messages, synth_messages
+from lendmill.operators import flatten_messages, stored_head, synth_messages
 from lendmill.plans.paths import check_distinct, check_path
 from lendmill.schemas import FLAT
 from lendmill.sinks import export_csv, write_messages, write_parquet
@@ -46,7 +46,8 @@ def run_flatten_batch(
         check_distinct(flat_path=flat_path, extract_path=extract_path)
     written = write_parquet(flatten_messages(read_messages(spark, source)), flat_path)
     if extract_path is not None:
-        export_csv(read_parquet_table(spark, flat_path, FLAT), extract_path, extract_rows)
+        flat = read_parquet_table(spark, flat_path, FLAT)
+        export_csv(stored_head(flat, extract_rows, FLAT.names), extract_path)
     return FlattenResult(written["rows"], flat_path, extract_path)
 
 

@@ -5,13 +5,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lendmill.operators import ordered_head
+from lendmill.operators import ordered_head, stored_head
 from lendmill.sinks import export_csv, snapshot_table, write_parquet
 from lendmill.sources import read_csv_dir
 from lendmill.workspace import scratch_path
 
 TEXTS = st.none() | st.text(
-    st.sampled_from(list('ab"\',;\\ \t\n#é')), max_size=8
+    st.sampled_from(list('ab"\',;\\ \t\n\r#é')), max_size=8
 )
 
 
@@ -49,9 +49,24 @@ def test_limited_export_is_ordered(spark, tmp_path):
     ]
 
 
-def test_ordered_head_needs_an_order(spark):
-    with pytest.raises(ValueError):
-        ordered_head(spark.range(5), 3, [])
+@pytest.mark.parametrize("head", [ordered_head, stored_head])
+def test_head_needs_an_order(spark, head):
+    with pytest.raises(ValueError, match="order"):
+        head(spark.range(5), 3, [])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.none() | st.integers(0, 5), st.none() | st.text("ab", max_size=2)), max_size=40),
+    st.integers(1, 30),
+)
+def test_heads_match_brute_force(spark, tmp_path_factory, rows, n):
+    path = str(tmp_path_factory.mktemp("head") / "t")
+    spark.createDataFrame(rows, "k int, v string").repartition(3).write.parquet(path)
+    table = spark.read.parquet(path)
+    want = sorted(rows, key=lambda r: [(x is not None, x if x is not None else "") for x in r])[:n]
+    assert [tuple(r) for r in ordered_head(table, n, ["k", "v"]).collect()] == want
+    assert [tuple(r) for r in stored_head(table, n, ["k", "v"]).collect()] == want
 
 
 def test_write_returns_what_was_written(spark, tmp_path):
@@ -84,3 +99,13 @@ class _Cluster:
 def test_scratch_on_a_cluster_needs_the_setting():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(_Cluster, "x")
+
+
+def test_scratch_of_a_local_session_without_the_setting():
+    class Local:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "local[2]"}.get(key, default)
+
+    assert "/lendmill-" in scratch_path(Local, "x")

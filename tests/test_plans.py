@@ -11,6 +11,7 @@ from lendmill.operators import (
     flatten_messages,
     ordered_head,
     share_by,
+    stored_head,
     synth_messages,
     upsert_by_key,
 )
@@ -69,6 +70,13 @@ def test_ordered_head_is_a_top_n(spark):
     assert "rangepartitioning" not in plan(df)
 
 
+def test_stored_head_pushes_its_bound_into_the_scan(spark):
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    text = plan(stored_head(orders, 10, ["o_orderkey"]))
+    assert "PushedFilters: [Or(IsNull(o_orderkey),LessThanOrEqual(o_orderkey,ScalarSubquery" in text
+    assert "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
 def test_batch_is_reduced_before_the_shuffle(spark):
     target = spark.read.parquet(f"{SF_DIR}/customer.parquet").selectExpr("c_custkey AS k", "c_name AS v")
     batch = spark.read.parquet(f"{SF_DIR}/events.parquet").selectExpr("user_id AS k", "event_type AS v", "ts")
