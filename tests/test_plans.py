@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from lendmill.catalogue import QUERIES
 from lendmill.operators import (
     application_metrics,
     enrich_applications,
@@ -25,9 +25,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_any_plan(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in (
         "EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin",
     ):
