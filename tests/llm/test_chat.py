@@ -1,0 +1,114 @@
+"""Chat formatting against a plain formatter, and its round trip."""
+
+import hashlib
+import math
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lendmill.llm.chat import (
+    CONTENT, conversation_digests, escaped, format_chat, read_loss, read_turns, text_part, unescaped,
+)
+from lendmill.llm.queries import CONTROL_TEXT, QUERIES
+
+SCHEMA = f"conv_id long, turn long, role string, content {CONTENT}"
+
+
+def text(value):
+    return ("text", value, None, None, None, None, None)
+
+
+def digest(turns):
+    turns = [(role or "", t or "") for role, t in turns]
+    loss = "".join(t for role, t in turns if role == "assistant")
+    whole = "".join(f"{role}\n{t}\n" for role, t in turns)
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return len(turns), sha(whole), len(loss), sha(loss)
+
+
+def test_query_reads_back_every_conversation(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    wanted = {-7: [("user", CONTROL_TEXT), ("assistant", CONTROL_TEXT)]}
+    for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        wanted.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    found = QUERIES["op1_chat_format"](spark, sf_dir).collect()
+    assert {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in found} == {
+        c: digest(turns) for c, turns in wanted.items()
+    }
+    assert len(found) == len(wanted)
+
+
+def test_long_conversation_comes_in_parts(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", [text(f"t{i} <|end|>")]) for i in range(300)]
+    formatted = format_chat(spark.createDataFrame(rows, SCHEMA), turns_each=64)
+    assert sorted(r["n_turns"] for r in formatted.collect()) == [44, 64, 64, 64, 64]
+    row = conversation_digests(formatted).first()
+    assert (row["n_turns"], row["turns_sha256"], row["loss_chars"], row["loss_sha256"]) == digest(
+        [(r[2], r[3][0][1]) for r in rows]
+    )
+
+
+def test_placeholders_attachments_and_tokens(spark):
+    parts = [
+        text("look: "),
+        ("image", None, "s3://a.png", 1000, 513, None, None),
+        ("audio", "not shown", "b.wav", None, None, 2.5, None),
+        text(" and "),
+        ("document", None, "c.pdf", None, None, None, 3),
+        ("image", None, None, None, None, None, None),
+        ("other", "plain", None, None, None, None, None),
+        None,
+    ]
+    row = format_chat(spark.createDataFrame([(1, 4, "user", parts)], SCHEMA)).first()
+    assert row["formatted"] == "<|turn|>user<|text|>look: <|image|><|audio|> and <|document|><|image|>plain<|end|>"
+    tokens = [4 * 170 + 85, math.ceil(62.5), 3 * 1024, 0]
+    assert [tuple(a) for a in row["attachments"]] == [
+        (0, 4, "image", "s3://a.png", tokens[0]), (1, 4, "audio", "b.wav", tokens[1]),
+        (2, 4, "document", "c.pdf", tokens[2]), (3, 4, "image", None, tokens[3]),
+    ]
+    assert row["n_tokens"] == sum(tokens) and row["loss"] == []
+
+
+def test_edges(spark):
+    rows = [
+        (1, 0, "assistant", None), (1, 0, None, [text(None)]), (1, None, "user", []),
+        (2, 0, "assistant", [text("x" * 1_000_000 + "é😀")]), (None, 0, "assistant", [text("no id")]),
+        (3, 0, "user", [text("same")]), (3, 0, "user", [text("same")]),
+        (4, 0, "a<|text|>b\n", [text("")]),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("part", F.lit("other")).withColumn("formatted", F.lit(1))
+    formatted = format_chat(df)
+    found = {r["conv_id"]: r for r in conversation_digests(formatted).collect()}
+    read = lambda c: (found[c]["n_turns"], found[c]["turns_sha256"], found[c]["loss_chars"], found[c]["loss_sha256"])
+    assert read(1) == digest([("user", ""), ("", ""), ("assistant", "")])
+    assert read(2) == digest([("assistant", "x" * 1_000_000 + "é😀")])
+    assert read(3) == digest([("user", "same")] * 2)
+    assert read(4) == digest([("a<|text|>b\n", "")])
+    assert read(None) == digest([("assistant", "no id")])
+    assert conversation_digests(format_chat(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+PIECES = st.sampled_from(["<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "|", "[", "a", "é", "\n", "$1"])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=8).map("".join), min_size=30, max_size=60))
+def test_any_text_comes_back(spark, texts):
+    rows = [(i, 0, "assistant", [text(t)]) for i, t in enumerate(texts)]
+    for r in (
+        format_chat(spark.createDataFrame(rows, SCHEMA))
+        .select("conv_id", "formatted", read_turns(F.col("formatted")).alias("t"), read_loss(F.col("formatted"), F.col("loss")).alias("l"))
+        .collect()
+    ):
+        assert [tuple(t) for t in r["t"]] == [("assistant", texts[r["conv_id"]])]
+        assert r["l"] == [texts[r["conv_id"]]]
+        body = r["formatted"].removeprefix("<|turn|>assistant<|text|>").removesuffix("<|end|>")
+        assert not any(c in body for c in ("<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]"))
+
+
+def test_no_python_in_the_plan(spark):
+    df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, t string")
+    plan = conversation_digests(format_chat(df.withColumn("content", F.array(text_part(F.col("t"))))))
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert df.select(unescaped(escaped(F.col("t")))).first()[0] == "x"
