@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.llm.chat import conversation_digests, format_chat, text_part
+from lendmill.llm.host_rules import host_rules
 from lendmill.llm.jaccard import jaccard_components
 from lendmill.llm.tables import importable
 
@@ -50,3 +51,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(load(spark, sf_dir, "documents"))
+
+
+@query
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules(load(spark, sf_dir, "documents"))
