@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lendmill.llm.chat import conversation_digests, format_chat, text_part
 from lendmill.llm.host_rules import host_rules
 from lendmill.llm.jaccard import jaccard_components
+from lendmill.llm.sharding import even_tree, sharded
 from lendmill.llm.tables import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
+SHARDS = 16
 
 
 @query
@@ -56,3 +58,9 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules(load(spark, sf_dir, "documents"))
+
+
+@query
+def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharded(load(spark, sf_dir, "documents"), even_tree(SHARDS))
+    return found.withColumn("law", F.lit("key"))
