@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lendmill.llm.chat import conversation_digests, format_chat, text_part
 from lendmill.llm.host_rules import host_rules
 from lendmill.llm.jaccard import jaccard_components
+from lendmill.llm.line_dedup import line_report
 from lendmill.llm.sharding import even_tree, sharded
 from lendmill.llm.tables import importable
 
@@ -64,3 +65,8 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharded(load(spark, sf_dir, "documents"), even_tree(SHARDS))
     return found.withColumn("law", F.lit("key"))
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(load(spark, sf_dir, "documents"))
