@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from lendmill.llm.chat import conversation_digests, format_chat, text_part
 from lendmill.llm.host_rules import host_rules
 from lendmill.llm.jaccard import jaccard_components
+from lendmill.llm.language import identify
 from lendmill.llm.line_dedup import line_report
 from lendmill.llm.sharding import even_tree, sharded
 from lendmill.llm.tables import importable
+from lendmill.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +53,16 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_chat(messages))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(load(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @query
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(load(spark, sf_dir, "documents"))

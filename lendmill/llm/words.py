@@ -99,6 +99,13 @@ def words(chunk: Chunk, separators: bytes = SPACES, lower: bool = True) -> Words
     )
 
 
+def prefixes(chunk: Chunk, found: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text row and hash of the first ``length`` bytes of each word that has more."""
+    longer = found.ends - found.starts > length
+    starts = found.starts[longer]
+    return found.text[longer], mix(_hashes(_LOWER[chunk.data], starts, starts + length), length)
+
+
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Differences of a running polynomial, brought to power 0 and mixed with the length."""
     global _powers
