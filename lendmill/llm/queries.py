@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.llm.chat import conversation_digests, format_chat, text_part
+from lendmill.llm.decontaminate import leaks
 from lendmill.llm.host_rules import host_rules
 from lendmill.llm.jaccard import jaccard_components
 from lendmill.llm.language import identify
 from lendmill.llm.line_dedup import line_report
+from lendmill.llm.packing import packed_documents
 from lendmill.llm.sharding import even_tree, sharded
 from lendmill.llm.tables import importable
+from lendmill.llm.token_files import token_digests
 from lendmill.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +42,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 SHARDS = 16
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """The place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 @query
@@ -53,6 +64,11 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_chat(messages))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(load(spark, sf_dir, "documents"))
@@ -68,11 +84,22 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(load(spark, sf_dir, "documents"))
 
 
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_digests(load(spark, sf_dir, "documents"), tokenizer_path(), end=2)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules(load(spark, sf_dir, "documents"))
 
 
+@query
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(load(spark, sf_dir, "documents"), tokenizer_path(), end=0)
+
+
 @query
 def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharded(load(spark, sf_dir, "documents"), even_tree(SHARDS))

@@ -1,0 +1,94 @@
+"""Packing: pieces against the tokenizer, laws of a packing, and how good it is."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from lendmill.llm import packing
+from lendmill.llm.packing import Packing, crossed, evolved, pack, packed_documents, sequences
+from lendmill.llm.queries import tokenizer_path
+
+SCHEMA = "doc_id long, text string"
+
+
+def check_packing(rows, length=2048):
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at and n > 0
+            at += n
+        assert at <= length
+    return len(by)
+
+
+def test_whole_table(spark, documents):
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    wanted, total = set(), 0
+    for r in documents.collect():
+        ids = [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 0]
+        total += len(ids)
+        for k in range(0, len(ids), 2048):
+            part = ids[k : k + 2048]
+            wanted.add((r["doc_id"], k // 2048, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    found = packed_documents(documents, tokenizer_path()).collect()
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found} == wanted
+    assert len(found) == len(wanted)
+    assert check_packing(found) <= -(-total // 2048) * 1.01
+
+
+def test_sequences_hold_their_ids(spark):
+    df = spark.createDataFrame([(i, f"some words {i} " * (i % 40 + 1)) for i in range(120)], SCHEMA)
+    packed = packed_documents(df, tokenizer_path(), length=64, with_ids=True)
+    pieces = {(r["sequence_id"], r["offset"]): r["ids"] for r in packed.collect()}
+    for r in sequences(packed).collect():
+        own = [pieces[k] for k in sorted(pieces) if k[0] == r["sequence_id"]]
+        assert b"".join(own) == r["ids"] and len(r["ids"]) == 4 * r["length"] <= 256
+
+
+def test_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CELL_PIECES", 100)
+    rng = random.Random(3)
+    lengths = [rng.choice([2048, rng.randint(1, 2048), rng.randint(1, 300)]) for _ in range(3000)]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "k long, length long")
+    found = pack(df).collect()
+    assert sorted(r["k"] for r in found) == list(range(3000))
+    assert check_packing(found) <= -(-sum(lengths) // 2048) * 1.03
+
+
+def test_edges(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "x " * 100_000), (4, "a"), (4, "a"), (None, "b")], SCHEMA)
+    df = df.withColumn("row", F.lit("clash")).withColumn("length", F.lit(-1)).withColumn("cell", F.lit(1))
+    found = packed_documents(df, tokenizer_path()).collect()
+    lengths = sorted((r["length"] for r in found if r["doc_id"] != 3))
+    assert lengths == [1, 1, 2, 2, 2]
+    assert sum(r["length"] for r in found if r["doc_id"] == 3) == 100_001
+    assert check_packing(found) == 49
+    assert packed_documents(spark.createDataFrame([], SCHEMA), tokenizer_path()).collect() == []
+
+
+def test_operators_of_the_genetic_algorithm():
+    rng = random.Random(1)
+    sizes = [rng.randint(1, 1500) for _ in range(400)]
+    one, other = Packing(sizes, 2048), Packing(sizes, 2048)
+    one.place(list(range(400)))
+    other.place(sorted(range(400), key=lambda i: -sizes[i]))
+    child = crossed(one, other, rng)
+    assert sorted(i for b in child.bins for i in b) == list(range(400))
+    assert all(sum(sizes[i] for i in b) + r == 2048 for b, r in zip(child.bins, child.room))
+    best = evolved(sizes, [], 1, 2048)
+    assert len(best.bins) <= len(other.bins) <= len(one.bins)
+    again = evolved(sizes, [best.bins], 2, 2048)
+    assert (len(again.bins), -again.filled()) <= (len(best.bins), -best.filled())
+    assert packing._unpacked_bins(packing._packed_bins(best.bins)) == [sorted(b) for b in best.bins]
+
+
+@pytest.mark.parametrize("sizes", [[], [2048], [1], [1024, 1024, 1024]])
+def test_small_packings(sizes):
+    assert len(evolved(sizes, [], 0, 2048).bins) == -(-sum(sizes) // 2048)
