@@ -5,8 +5,9 @@ first pass over the classes takes a prefix of every set in hash order and drops
 classes that share too few of its shingles with any other class to reach the threshold.
 The sets left are ordered rare-first by the exact number of classes that hold a shingle.
 Two sets can only link if their prefixes in this order share a shingle; pairs that share
-one must pass the length and the positional filter and, once per pair, the suffix filter
-and the exact count.
+one must pass the length and the positional filter and a parity bitmap, which bounds the
+shingles in just one of the two, and then, once per pair, the suffix filter and the exact
+count.
 
 Shingles travel as packed arrays, one row per task and bucket of the hash range.
 """
@@ -14,10 +15,11 @@ Shingles travel as packed arrays, one row per task and bucket of the hash range.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.llm.links import connected
@@ -28,6 +30,7 @@ SIZE = 5
 #: Two sets link when the intersection holds this many percent of the union.
 PERCENT = 80
 BUCKET_ENTRIES = 1 << 20
+BITMAP_WORDS = 4
 
 _PACKED = "bucket int, nodes binary, counts binary, hashes binary"
 
@@ -51,28 +54,30 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
         "node",
         "n",
         F.posexplode("prefix").alias("i", "bucket"),
-        (F.col("n") - F.col("shared")).alias("alone"),
-    ).select("node", "bucket", "n", (F.col("alone") + F.col("i")).alias("pos"))
+        "shared",
+        "bits",
+    ).withColumn("pos", F.col("n") - F.col("shared") + F.col("i")).drop("i")
 
     def possible(a, b):
         rest = F.least(a("n") - a("pos"), b("n") - b("pos"))
         both = a("n") + b("n")
+        apart = reduce(
+            Column.__add__,
+            (F.bit_count(a("bits")[i].bitwiseXOR(b("bits")[i])) for i in range(BITMAP_WORDS)),
+        )
         return (
             (100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n")))
             & ((100 + percent) * rest >= percent * both)
+            & ((100 + percent) * (a("shared") + b("shared") - apart) >= 2 * percent * both)
         )
 
     groups = connected(members, possible, lambda pairs: _verified(pairs, ordered, percent))
-    found = sets.join(groups, "node", "left").withColumn(
-        "class", F.when(F.col("n") > 0, F.coalesce("component", "node"))
-    )
-    smallest = (
-        linkable.groupBy("node").agg(F.min("doc_id").alias("least"))
-        .join(groups, "node", "left")
-        .groupBy(F.coalesce("component", "node").alias("class"))
-        .agg(F.min("least").alias("least"))
+    classes = classes.join(groups, "node", "left").select(
+        "node", "doc_id", F.coalesce("component", "node").alias("class")
     )
-    return found.join(smallest, "class", "left").select(
+    least = classes.groupBy("class").agg(F.min("doc_id").alias("least"))
+    named = stored(classes.join(least, "class").select("node", "least"), "least")
+    return sets.join(named, (F.col("n") > 0) & (sets["node"] == named["node"]), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
@@ -264,7 +269,7 @@ def _rare_first(docs: DataFrame, candidates: DataFrame, size: int, percent: int)
         .sortWithinPartitions("node")
         .mapInArrow(
             _ordered(percent),
-            "node long, n long, shared long, hashes binary, df binary, prefix array<long>",
+            "node long, n long, shared long, hashes binary, df binary, prefix array<long>, bits array<long>",
         )
     )
 
@@ -282,13 +287,14 @@ def _ordered(percent: int):
         prefix = hashes[: spare + 1 - (n - len(hashes))].view(np.int64)
         return {
             "node": rows[0][0], "n": n, "shared": len(hashes), "hashes": hashes.tobytes(),
-            "df": df.tobytes(), "prefix": prefix.tolist(),
+            "df": df.tobytes(), "prefix": prefix.tolist(), "bits": _parity(hashes).tolist(),
         }
 
     schema = pa.schema(
         [
             ("node", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()),
             ("hashes", pa.binary()), ("df", pa.binary()), ("prefix", pa.list_(pa.int64())),
+            ("bits", pa.list_(pa.int64())),
         ]
     )
 
@@ -308,6 +314,13 @@ def _ordered(percent: int):
     return run
 
 
+def _parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each class of hashes: whether their number is odd. Two sets differ in at
+    least as many shingles as their bitmaps in bits."""
+    odd = np.bincount((hashes % np.uint64(64 * BITMAP_WORDS)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _verified(pairs: DataFrame, ordered: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets reach the threshold, each checked once."""
     side = lambda p: ordered.select(

@@ -1,10 +1,11 @@
 """Connected groups of nodes that share buckets, without all pairs of a bucket.
 
 A bucket may hold a large part of all nodes, mostly because these are variants of one
-thing and link with one another. So first each node is only paired with the hubs of its
-buckets, which is linear in the memberships and joins such variants to few groups. Then
-all pairs of nodes that share a bucket, but are not yet in one group, are checked: no
-link between two groups is lost, and pairs inside a group are never made.
+thing and link with one another. So first each node is only paired with a few hubs of its
+buckets, which is linear in the memberships and joins such variants to few groups. This
+is done twice, with other hubs. Then all pairs of nodes that share a bucket, but are not yet in one
+group, are checked: no link between two groups is lost, and pairs inside a group are
+never made.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from lendmill.llm.tables import stored
 
 HUBS = 3
+ROUNDS = 2
 
 Condition = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
@@ -41,13 +43,14 @@ def connected(
     and bucket. ``possible`` is a cheap necessary condition on the columns of two rows.
     ``verify`` gets distinct pairs ``a < b`` and returns those that link.
     """
+    spark = members.sparkSession
     members = stored(members, "members")
-    first = stored(verify(_distinct(_hub_pairs(members, possible, hubs))), "links")
-    groups = components(first)
-    labelled = (
-        members.join(groups, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
+    groups = spark.createDataFrame([], "node long, component long")
+    labelled = _labelled(members, groups)
+    for turn in range(ROUNDS):
+        pairs = _distinct(_hub_pairs(labelled, possible, turn * hubs, hubs))
+        groups = _merged(groups, stored(verify(pairs), "links"))
+        labelled = stored(_labelled(members, groups), "labelled")
     split = (
         labelled.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -60,16 +63,26 @@ def connected(
         _named(rest, "b"),
         (a("bucket") == b("bucket")) & (a("component") < b("component")) & possible(a, b),
     )
-    second = verify(_distinct(across))
+    return _merged(groups, stored(verify(_distinct(across)), "links"))
+
+
+def _labelled(members: DataFrame, groups: DataFrame) -> DataFrame:
+    return members.join(groups, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+
+
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups after these links between nodes of different groups."""
     group_of = lambda side: groups.select(
         F.col("node").alias(side), F.col("component").alias(f"{side}_group")
     )
-    joined = (
-        second.join(group_of("a"), "a", "left")
+    between = (
+        links.join(group_of("a"), "a", "left")
         .join(group_of("b"), "b", "left")
         .select(F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b"))
     )
-    merged = components(joined)
+    merged = components(between)
     outer = merged.select(F.col("node").alias("component"), F.col("component").alias("outer"))
     return stored(
         groups.join(outer, "component", "left")
@@ -79,23 +92,22 @@ def connected(
     )
 
 
-def _hub_pairs(members: DataFrame, possible: Condition, hubs: int) -> DataFrame:
-    """Each member with those of its bucket whose hashes by ``hubs`` seeds are smallest."""
-    row = F.struct(*members.columns)
-    chosen = members.groupBy("bucket").agg(
+def _hub_pairs(labelled: DataFrame, possible: Condition, seed: int, hubs: int) -> DataFrame:
+    """Each member with those of its bucket whose hashes by some seeds are smallest, if
+    these are of another group."""
+    row = F.struct(*labelled.columns)
+    names = [f"hub{k}" for k in range(hubs)]
+    chosen = labelled.groupBy("bucket").agg(
         *(
-            F.min_by(row, F.xxhash64("node", F.lit(seed))).alias(f"hub{seed}")
-            for seed in range(hubs)
+            F.min_by(row, F.xxhash64("node", F.lit(seed + k))).alias(name)
+            for k, name in enumerate(names)
         )
     )
-    hub = (
-        chosen.select(F.explode(F.array_distinct(F.array(*(f"hub{s}" for s in range(hubs))))).alias("h"))
-        .select("h.*")
-    )
+    hub = chosen.select(F.explode(F.array_distinct(F.array(*names))).alias("h")).select("h.*")
     a, b = _side("a"), _side("b")
     return _named(hub, "a").join(
-        _named(members, "b"),
-        (a("bucket") == b("bucket")) & (a("node") != b("node")) & possible(a, b),
+        _named(labelled, "b"),
+        (a("bucket") == b("bucket")) & (a("component") != b("component")) & possible(a, b),
     )
 
 
