@@ -30,6 +30,7 @@ SIZE = 5
 #: Two sets link when the intersection holds this many percent of the union.
 PERCENT = 80
 BUCKET_ENTRIES = 1 << 20
+LEAST_BUCKETS = 64
 BITMAP_WORDS = 4
 
 _PACKED = "bucket int, nodes binary, counts binary, hashes binary"
@@ -120,7 +121,7 @@ def _signatures(size: int):
 
 
 def _bucket_count(entries: int | None, spark) -> int:
-    return max(partitions(spark), -(-(entries or 0) // BUCKET_ENTRIES))
+    return max(LEAST_BUCKETS, partitions(spark), -(-(entries or 0) // BUCKET_ENTRIES))
 
 
 def _packing(size: int, buckets: int, percent: int | None):
