@@ -262,7 +262,7 @@ def _rare_first(docs: DataFrame, candidates: DataFrame, size: int, percent: int)
     entries = candidates.agg(F.sum("n")).first()[0]
     buckets = _bucket_count(entries, spark)
     return (
-        docs.join(candidates.select("doc_id"), "doc_id", "left_semi")
+        docs.join(candidates.select("doc_id").hint("merge"), "doc_id", "left_semi")
         .mapInArrow(_packing(size, buckets, None), _PACKED)
         .groupBy("bucket")
         .applyInArrow(_shares, "node long, held long, hashes binary, df binary")
