@@ -2,8 +2,9 @@
 
 A dataset is a folder of
 
-* ``ids-NNNNN.bin``: the ids of consecutive documents in ascending ``doc_id`` order as
-  little-endian unsigned 32-bit integers, without any header;
+* ``ids-NNNNN.u16`` or ``.u32``: the ids of consecutive documents in ascending ``doc_id``
+  order as little-endian unsigned integers of 16 or, for a vocabulary that needs them, 32
+  bits, without any header;
 * ``index-NNNNN.mph``: for the keys of one hash bucket a minimal perfect hash and, in its
   slots, a fingerprint of the key, the shard, the offset in ids and the number of ids.
 
@@ -143,17 +144,26 @@ class Index:
         return cls(bits, np.frombuffer(raw, _SLOT, slots, at + 8 * rest), left)
 
 
-def _encoding(folder: str, tokenizer: str, end: int):
+def id_type(tokenizer: str, end: int) -> str:
+    """The numpy type of the ids in the files, by the size of the vocabulary."""
+    return "<u2" if max(end, encoder(tokenizer).tokenizer.get_vocab_size() - 1) < 1 << 16 else "<u4"
+
+
+def _shard_path(folder: str, shard: int, kind: str) -> str:
+    return f"{folder}/ids-{shard:05d}.u{8 * np.dtype(kind).itemsize}"
+
+
+def _encoding(folder: str, tokenizer: str, end: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        files, target = _place(f"{folder}/ids-{shard:05d}.bin")
+        files, target = _place(_shard_path(folder, shard, kind))
         own = f"{target}.{TaskContext.get().taskAttemptId()}.tmp"
         at = 0
         with files.open_output_stream(own) as out:
             for batch in batches:
                 for first, counts, ids in encoder(tokenizer).encode(batch.column("text")):
                     counts, ids = with_end(counts, ids, end)
-                    out.write(np.ascontiguousarray(ids, "<u4").tobytes())
+                    out.write(np.ascontiguousarray(ids, kind).tobytes())
                     starts = at + np.cumsum(counts) - counts
                     at += int(counts.sum())
                     yield pa.RecordBatch.from_pydict(
@@ -184,7 +194,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end: int) ->
     ordered = rows.repartitionByRange(int(shards), F.col("doc_id").asc_nulls_first())
     written = stored(
         ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(
-            _encoding(folder, tokenizer, end), "doc_id long, shard int, start long, length long"
+            _encoding(folder, tokenizer, end, id_type(tokenizer, end)), "doc_id long, shard int, start long, length long"
         ),
         "written",
     )
@@ -252,7 +262,9 @@ def look_up(folder: str, keys: DataFrame) -> DataFrame:
     )
 
 
-def _reading(folder: str):
+def _reading(folder: str, kind: str):
+    width = np.dtype(kind).itemsize
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source = None, None
         for batch in batches:
@@ -262,9 +274,10 @@ def _reading(folder: str):
                 if shard != name:
                     if source:
                         source.close()
-                    files, target = _place(f"{folder}/ids-{shard:05d}.bin")
+                    files, target = _place(_shard_path(folder, shard, kind))
                     name, source = shard, files.open_input_file(target)
-                parts.append(zlib.crc32(source.read_at(4 * n, 4 * offset)))
+                ids = np.frombuffer(source.read_at(width * n, width * offset), kind)
+                parts.append(zlib.crc32(ids.astype("<u4").tobytes()))
             yield batch.append_column("ids_crc32", pa.array(parts, pa.int64()))
         if source:
             source.close()
@@ -272,13 +285,14 @@ def _reading(folder: str):
     return run
 
 
-def read_digests(folder: str, keys: DataFrame) -> DataFrame:
+def read_digests(folder: str, keys: DataFrame, kind: str) -> DataFrame:
     """``doc_id``, ``copy``, ``start`` (ids of all documents before), ``n_tokens``,
-    ``ids_crc32`` of each key, read from the index and the shards."""
+    ``ids_crc32`` (of the ids as 32-bit integers) of each key, read from the index and the
+    shards, whose ids are of type ``kind``."""
     found = look_up(folder, keys)
     read = stored(
         found.repartition("shard").sortWithinPartitions("shard", "offset").mapInArrow(
-            _reading(folder), "doc_id long, copy int, shard long, offset long, n_tokens long, ids_crc32 long"
+            _reading(folder, kind), "doc_id long, copy int, shard long, offset long, n_tokens long, ids_crc32 long"
         ),
         "read",
     )
@@ -295,4 +309,4 @@ def read_digests(folder: str, keys: DataFrame) -> DataFrame:
 def token_digests(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     """Write ``docs`` to a folder below ``spark.checkpoint.dir`` and read all of it back."""
     folder = scratch_path(docs.sparkSession, "token-files")
-    return read_digests(folder, write_token_files(docs, folder, tokenizer, end))
+    return read_digests(folder, write_token_files(docs, folder, tokenizer, end), id_type(tokenizer, end))

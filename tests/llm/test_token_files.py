@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from lendmill.llm import token_files
 from lendmill.llm.queries import tokenizer_path
-from lendmill.llm.token_files import Index, look_up, read_digests, token_digests, write_token_files
+from lendmill.llm.token_files import Index, id_type, look_up, read_digests, token_digests, write_token_files
 
 SCHEMA = "doc_id long, text string"
 
@@ -54,13 +54,14 @@ def test_files_hold_raw_ids_and_foreign_keys_are_not_found(spark, tokenizer, tmp
     rows = [(i, f"text number {i}") for i in range(500)]
     folder = str(tmp_path / "set")
     keys = write_token_files(spark.createDataFrame(rows, SCHEMA), folder, tokenizer_path(), 2)
-    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "set").glob("ids-*.bin")))
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "set").glob("ids-*.u16")))
     ids = [x for _, t in rows for x in [*tokenizer.encode(t, add_special_tokens=False).ids, 2]]
-    assert np.frombuffer(raw, "<u4").tolist() == ids
+    assert id_type(tokenizer_path(), 2) == "<u2" and id_type(tokenizer_path(), 1 << 16) == "<u4"
+    assert np.frombuffer(raw, "<u2").tolist() == ids
     assert not list((tmp_path / "set").glob("*.tmp"))
     foreign = keys.withColumn("key", F.xxhash64("key", F.lit("other")))
     assert look_up(folder, foreign).collect() == []
-    one = read_digests(folder, keys.where("doc_id = 77")).first()
+    one = read_digests(folder, keys.where("doc_id = 77"), "<u2").first()
     assert one["n_tokens"] == len(tokenizer.encode("text number 77").ids) + 1
 
 
