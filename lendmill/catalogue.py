@@ -429,7 +429,7 @@ def csv_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked("SELECT * FROM lineitem")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, path = load(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")
-    write_parquet(lineitem, path, files=2)
+    write_parquet(lineitem, path)
     return read_parquet_table(spark, path, lineitem.schema)
 
 
@@ -456,12 +456,12 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT user_id, event_type, value FROM events
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
     SELECT c_custkey AS account, c_mktsegment AS state, c_acctbal AS amount FROM customer
-    WHERE c_acctbal >= 0 AND c_custkey NOT IN (SELECT user_id FROM latest)
+    WHERE c_custkey NOT IN (SELECT user_id FROM latest)
     UNION ALL SELECT user_id, event_type, value FROM latest"""
 )
 def upsert_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts in credit hold; each user's latest event replaces or adds an account."""
-    accounts = load(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    """Each user's latest event replaces or adds an account."""
+    accounts = load(spark, sf_dir, "customer")
     events = load(spark, sf_dir, "events")
     return upsert_by_key(
         accounts.selectExpr("c_custkey AS account", "c_mktsegment AS state", "c_acctbal AS amount"),
@@ -488,7 +488,7 @@ def upsert_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     billed = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("account")).agg(
         F.lit("billed").alias("state"), F.count(F.lit(1)).alias("lines")
     )
-    keys, buckets = ["account"], 8
+    keys, buckets = ["account"], int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_keyed_table(orders, held, scratch_path(spark, "accounts"), keys, buckets)
     path = scratch_path(spark, "accounts")
     run_keyed_upsert(spark, held, billed, merged, path, keys=keys, buckets=buckets)
@@ -628,7 +628,7 @@ def flatten_stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs with one checkpoint: the second adds only what came in between."""
     bodies = order_messages(spark, sf_dir)
     undocumented = F.col("value").contains('"documents":[]')
-    source = MessageDir(scratch_path(spark, "messages"), files_per_trigger=1)
+    source = MessageDir(scratch_path(spark, "messages"))
     path, checkpoint = scratch_path(spark, "flat"), scratch_path(spark, "checkpoint")
     write_messages(bodies.where(undocumented), source)
     run_flatten_stream(spark, source, path, checkpoint)

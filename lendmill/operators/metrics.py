@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from lendmill.functions import percent
 
@@ -55,8 +56,16 @@ def histogram(
     name: str = "cnt",
     weight: str | None = None,
 ) -> DataFrame:
-    """Rows per value, or per bin of ``width`` labelled by its lower edge."""
-    edge = F.col(value) if width is None else F.floor(F.col(value) / width) * width
+    """Rows per value, or per bin of ``width`` labelled by its lower edge.
+
+    With ``width``, NaN and infinity are in no bin: they count under null, as null does.
+    """
+    edge = F.col(value)
+    if width is not None and isinstance(df.schema[value].dataType, IntegralType):
+        edge = edge.cast("long") - F.pmod(edge.cast("long"), F.lit(width).cast("long"))
+    elif width is not None:
+        finite = ~F.isnan(edge) & (F.abs(edge) < float("inf"))
+        edge = F.when(finite, F.floor(edge / width) * width)
     return df.groupBy(edge.alias("bin")).agg(_rows(weight).alias(name))
 
 

@@ -9,12 +9,6 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One task merges the first n rows of every partition. With millions of input
-# splits that task would dominate, so splits are grouped until it gets about this
-# many rows, yet never into fewer than LEAST_PARTITIONS.
-MERGED_ROWS = 50_000_000
-LEAST_PARTITIONS = 1_000
-
 NO_ORDER = "a limited extract needs an order, or its rows may vary"
 
 
@@ -34,8 +28,7 @@ def ordered_head(df: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame
     """The first ``rows`` rows in the given order: a distributed top-n, no full sort."""
     if not order_by:
         raise ValueError(NO_ORDER)
-    partitions = max(LEAST_PARTITIONS, MERGED_ROWS // max(rows, 1))
-    return df.coalesce(partitions).orderBy(*order_by).limit(rows)
+    return df.orderBy(*order_by).limit(rows)
 
 
 def stored_head(table: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.operators import count_by, stored_head, upsert_by_key
-from lendmill.plans.paths import check_distinct, check_path
+from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import CALLS, CALLS_KEY
 from lendmill.sinks import snapshot_table, write_keyed_table, write_parquet
 from lendmill.sources import read_parquet_table
@@ -32,7 +32,7 @@ def run_call_upsert(
         current = spark.createDataFrame([], CALLS)
     else:
         current_path = check_path("current_path", current_path)
-        check_distinct(current_path=current_path, output_path=output_path)
+        check_apart(spark, current_path=current_path, output_path=output_path)
         current = read_parquet_table(spark, current_path, CALLS)
     merged = upsert_by_key(current, batch, CALLS_KEY, order_by)
     return write_parquet(merged, output_path)["rows"]
@@ -73,5 +73,5 @@ def run_call_snapshot(spark: SparkSession, table_path: str, csv_path: str) -> No
     """The whole call table as CSV."""
     table_path = check_path("table_path", table_path)
     csv_path = check_path("csv_path", csv_path)
-    check_distinct(table_path=table_path, csv_path=csv_path)
+    check_apart(spark, table_path=table_path, csv_path=csv_path)
     snapshot_table(read_parquet_table(spark, table_path, CALLS), csv_path)

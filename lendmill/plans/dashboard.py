@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendmill.operators import count_by, histogram, share_by
-from lendmill.plans.paths import check_distinct, check_path
+from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import FLAT
 from lendmill.sinks import write_parquet
 from lendmill.sources import read_parquet_table
@@ -49,13 +49,12 @@ def run_dashboard(spark: SparkSession, flat_path: str, output_path: str) -> dict
     """
     flat_path = check_path("flat_path", flat_path)
     output_path = check_path("output_path", output_path)
-    check_distinct(flat_path=flat_path, output_path=output_path)
     base_path = f"{output_path}/base"
     base = chart_base(read_parquet_table(spark, flat_path, FLAT))
+    written = {name: f"{output_path}/{name}" for name in dashboard_charts(base)}
+    check_apart(spark, flat_path=flat_path, base_path=base_path, **written)
     write_parquet(base, base_path)
     grouped = read_parquet_table(spark, base_path, base.schema)
-    paths = {}
     for name, chart in dashboard_charts(grouped).items():
-        paths[name] = f"{output_path}/{name}"
-        write_parquet(chart, paths[name])
-    return paths
+        write_parquet(chart, written[name])
+    return written

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators import application_metrics, enrich_applications
 from lendmill.operators.metrics import METRIC_KEYS, STAT_MEANS, figures
-from lendmill.plans.paths import check_distinct, check_path
+from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import APPLICATIONS
 from lendmill.sinks import write_parquet
 from lendmill.sources import read_csv_dir, read_parquet_table
@@ -49,7 +49,7 @@ def run_loan_batch(
     if not report_date:
         raise ValueError("report_date is missing")
     clean_path, aggregated_path = f"{output}/clean", f"{output}/aggregated"
-    check_distinct(input_path=source, clean_path=clean_path, aggregated_path=aggregated_path)
+    check_apart(spark, input_path=source, clean_path=clean_path, aggregated_path=aggregated_path)
 
     loaded = Observation()
     applications = read_csv_dir(spark, source, APPLICATIONS).observe(

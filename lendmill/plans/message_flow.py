@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lendmill.operators import flatten_messages, stored_head, synth_messages
-from lendmill.plans.paths import check_distinct, check_path
+from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import FLAT
 from lendmill.sinks import export_csv, write_messages, write_parquet
-from lendmill.sources import MessageSource, read_messages, read_parquet_table
+from lendmill.sources import MessageDir, MessageSource, read_messages, read_parquet_table
 from lendmill.streaming import read_message_stream, stream_result, write_stream
 
 EXTRACT_ROWS = 1000
@@ -28,6 +28,10 @@ def run_publish(spark: SparkSession, sink: MessageSource, rows: int) -> None:
     write_messages(synth_messages(spark.range(rows)), sink)
 
 
+def _place(source: MessageSource) -> str | None:
+    return source.path if isinstance(source, MessageDir) else None
+
+
 def run_flatten_batch(
     spark: SparkSession,
     source: MessageSource,
@@ -43,7 +47,7 @@ def run_flatten_batch(
     flat_path = check_path("flat_path", flat_path)
     if extract_path is not None:
         extract_path = check_path("extract_path", extract_path)
-        check_distinct(flat_path=flat_path, extract_path=extract_path)
+    check_apart(spark, source=_place(source), flat_path=flat_path, extract_path=extract_path)
     written = write_parquet(flatten_messages(read_messages(spark, source)), flat_path)
     if extract_path is not None:
         flat = read_parquet_table(spark, flat_path, FLAT)
@@ -62,7 +66,7 @@ def run_flatten_stream(
     """Messages new since the last run -> appended to the flat table; returns the whole table."""
     flat_path = check_path("flat_path", flat_path)
     checkpoint = check_path("checkpoint", checkpoint)
-    check_distinct(flat_path=flat_path, checkpoint=checkpoint)
+    check_apart(spark, source=_place(source), flat_path=flat_path, checkpoint=checkpoint)
     flat = flatten_messages(read_message_stream(spark, source))
     write_stream(flat, flat_path, checkpoint, name=view, timeout=timeout)
     return stream_result(spark, flat_path, view, FLAT)
