@@ -35,6 +35,8 @@ EPOCHS = 30
 RATE = 0.5
 BATCH = 32
 SEED = 7
+#: Shares travel to the driver in half precision, times this.
+SHARE_SCALE = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -117,7 +119,7 @@ def _packed_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 [
                     part.column("lang"),
                     pa.array([u.astype(np.uint16).tobytes() for u in used], pa.binary()),
-                    pa.array([r[u].tobytes() for r, u in zip(rows, used)], pa.binary()),
+                    pa.array([(SHARE_SCALE * r[u]).astype(np.float16).tobytes() for r, u in zip(rows, used)], pa.binary()),
                 ],
                 names=["lang", "buckets", "shares"],
             )
@@ -141,16 +143,18 @@ def train(rows: DataFrame, each: int = SAMPLE_EACH) -> Model | None:
         return None
     names = found.column("lang").to_pylist()
     packed = list(zip(found.column("buckets").to_pylist(), found.column("shares").to_pylist()))
+    del found
+    pa.default_memory_pool().release_unused()
     order = sorted(range(len(names)), key=lambda i: (names[i], packed[i]))
     texts = [
-        (np.frombuffer(packed[i][0], np.uint16), np.frombuffer(packed[i][1], np.float32)) for i in order
+        (np.frombuffer(packed[i][0], np.uint16), np.frombuffer(packed[i][1], np.float16)) for i in order
     ]
 
     def dense(rows: np.ndarray) -> np.ndarray:
         x = np.zeros((len(rows), BUCKETS), np.float32)
         for to, i in enumerate(rows):
             x[to, texts[i][0]] = texts[i][1]
-        return x
+        return x / SHARE_SCALE
 
     languages = sorted(set(names))
     y = np.array([languages.index(names[i]) for i in order])
@@ -162,7 +166,7 @@ def train(rows: DataFrame, each: int = SAMPLE_EACH) -> Model | None:
     linear = rng.normal(0, 0.1, (DIMENSIONS, len(languages))).astype(np.float32)
     bias = np.zeros(len(languages), np.float32)
     target = np.eye(len(languages), dtype=np.float32)[y]
-    scale = 1 / float(np.mean([np.sqrt((shares * shares).sum()) for _, shares in texts]))
+    scale = 1 / float(np.mean([np.linalg.norm(shares.astype(np.float32) / SHARE_SCALE) for _, shares in texts]))
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         rng.shuffle(learn)
@@ -176,7 +180,7 @@ def train(rows: DataFrame, each: int = SAMPLE_EACH) -> Model | None:
             bias -= rate * wrong.sum(0)
             embed -= rate * back
     scores = (embed @ linear) * scale
-    z = np.array([shares @ scores[buckets] + bias for buckets, shares in (texts[i] for i in apart)])
+    z = np.array([shares.astype(np.float32) / SHARE_SCALE @ scores[buckets] + bias for buckets, shares in (texts[i] for i in apart)])
     return Model(languages, scores.astype(np.float32), bias.astype(np.float64), _temperature(z, y[apart]))
 
 
