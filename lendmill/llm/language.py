@@ -133,7 +133,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def train(rows: DataFrame, each: int = SAMPLE_EACH) -> Model | None:
     """Fit on ``text`` and ``lang`` of at most ``each`` rows of a language, chosen by the
     hash of ``doc_id``. ``None`` if no row has both."""
-    chosen = sample(rows.where("lang IS NOT NULL AND text RLIKE '[\\\\p{L}]'"), "lang", "doc_id", each)
+    named = documents(rows, "doc_id", "lang", "text").where("lang IS NOT NULL")
+    chosen = sample(
+        named.where("text RLIKE '[\\\\p{L}]'"), "lang", "doc_id", each, named.select("lang")
+    )
     found = (
         chosen.select("doc_id", "lang", "text")
         .mapInArrow(_packed_features, "lang string, buckets binary, shares binary")

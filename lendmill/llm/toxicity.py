@@ -208,10 +208,12 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labelled rows of ``docs`` and score all. The labels only say whether a
-    text is toxic; :func:`split_top` makes grades 1 and 2 of those that are."""
+    text is toxic; :func:`split_top` makes grades 1 and 2 of those that are. Of several
+    labels of one document the highest counts."""
     graded = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select(
         "doc_id", F.when(F.col("toxic") == 0, 0).otherwise(1).alias("grade")
     )
-    chosen = stored(sample(graded.dropDuplicates(["doc_id"]), "grade", "doc_id", SAMPLE_EACH), "graded")
+    graded = stored(graded.groupBy("doc_id").agg(F.max("grade").alias("grade")), "labelled")
+    chosen = stored(sample(graded, "grade", "doc_id", SAMPLE_EACH), "graded")
     rows = documents(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return score(docs, train(split_top(gathered(rows))))
