@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendmill.llm.learn import fold, sample
@@ -28,6 +28,9 @@ SAMPLE_EACH = 2000
 #: A document is rejected below this score.
 LEAST_SCORE = 0.5
 
+#: Texts scored at once; the arrays on the way take some fifty times as much memory.
+SCORED_BYTES = 1 << 18
+
 BUCKETS = 1 << 13
 DIMENSIONS = 16
 LENGTHS = (2, 3, 4)
@@ -196,19 +199,24 @@ def _temperature(z: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def _answers(model: Model | None, texts: pa.Array, letters: pa.Array) -> Iterator[tuple[Chunk, np.ndarray, np.ndarray]]:
+    """Language and score of each text, by chunk."""
+    lettered = letters.to_numpy(zero_copy_only=False).astype(bool)
+    for chunk in chunks(texts, SCORED_BYTES):
+        known = lettered[chunk.first : chunk.first + chunk.rows] & (model is not None)
+        names = np.full(chunk.rows, UNDETERMINED, object)
+        score = np.zeros(chunk.rows)
+        if known.any():
+            likely = _softmax((_logits(chunk, model.scores) + model.bias) / model.temperature)
+            names[known] = np.array(model.languages, object)[likely.argmax(1)][known]
+            score[known] = likely.max(1)[known]
+        yield chunk, names, score
+
+
 def _predicting(model: Model | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
-            for chunk in chunks(batch.column("text")):
-                part = slice(chunk.first, chunk.first + chunk.rows)
-                known = letters[part] & (model is not None)
-                names = np.full(chunk.rows, UNDETERMINED, object)
-                score = np.zeros(chunk.rows)
-                if known.any():
-                    likely = _softmax((_logits(chunk, model.scores) + model.bias) / model.temperature)
-                    names[known] = np.array(model.languages, object)[likely.argmax(1)][known]
-                    score[known] = likely.max(1)[known]
+            for chunk, names, score in _answers(model, batch.column("text"), batch.column("letters")):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(chunk.first, chunk.rows),
@@ -221,32 +229,47 @@ def _predicting(model: Model | None):
     return run
 
 
+def _accepting(model: Model | None):
+    def run(texts: pa.Array, letters: pa.Array) -> pa.Array:
+        found = [
+            (names != UNDETERMINED) & (score >= LEAST_SCORE)
+            for _, names, score in _answers(model, texts, letters)
+        ]
+        return pa.array(np.concatenate([np.empty(0, bool), *found]).astype(bool), pa.bool_())
+
+    return run
+
+
+def _has_letters() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` for each row, from the whole text alone.
 
     A null text or one without any letter is ``und`` with score 0, and so is every text
     without a model. Repeated rows get equal results.
     """
-    rows = documents(docs, "doc_id", "text").withColumn(
-        "letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    )
+    rows = documents(docs, "doc_id", "text").withColumn("letters", _has_letters())
     return rows.mapInArrow(_predicting(model), "doc_id long, lang_pred string, score double")
 
 
+def _held_out() -> Column:
+    return F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False))
+
+
+def _trained(docs: DataFrame) -> Model | None:
+    """Fit on the rows outside the held-out fold."""
+    return train(documents(docs, "doc_id", "text", "lang").where("doc_id IS NOT NULL").where(~_held_out()))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the rows outside the held-out fold and predict all of them."""
-    held_out = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False))
-    learn = docs.select("doc_id", "text", "lang").where("doc_id IS NOT NULL").where(~held_out)
-    return predict(docs, train(learn)).withColumn("held_out", held_out)
+    return predict(docs, _trained(docs)).withColumn("held_out", _held_out())
 
 
 def accepted(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is determined with a sufficient score. Rows
-    without ``doc_id`` stay; rows of one ``doc_id`` go together if one is rejected."""
-    gone = (
-        identify(docs)
-        .where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < LEAST_SCORE))
-        .select("doc_id")
-        .distinct()
-    )
-    return docs.join(gone, "doc_id", "left_anti").select(*(docs[f"`{c}`"] for c in docs.columns))
+    """The rows of ``docs`` whose language is determined with a sufficient score, each
+    judged by its own text. Rows without ``doc_id`` stay. Nothing is shuffled."""
+    accept = F.arrow_udf(_accepting(_trained(docs)), "boolean")
+    return docs.where(F.col("doc_id").isNull() | accept(F.col("text"), _has_letters()))
