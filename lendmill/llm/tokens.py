@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 MOST_KNOWN = 500_000
 #: A longer piece is encoded, but not kept.
 LONGEST_KNOWN = 64
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 _encoders: dict[str, Encoder] = {}
 
