@@ -407,15 +407,16 @@ def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders "
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+      CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM orders"""
 )
 def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders_csv")
-    snapshot_table(load(spark, sf_dir, "orders").drop("o_orderdate"), path)
+    orders = load(spark, sf_dir, "orders")
+    snapshot_table(orders, path)
     inferred = read_csv_dir(spark, path)
-    return inferred.withColumns(
-        {c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")}
-    )
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderdate": "timestamp_ntz"}
+    return inferred.select([F.col(c).cast(types.get(c, inferred.schema[c].dataType)) for c in orders.columns])
 
 
 @checked(f"{FLATTENED} SELECT * FROM flat ORDER BY application_id, doc_type LIMIT 1000")
@@ -539,19 +540,21 @@ def publish_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
-    f"""SELECT to_json({{
+    f"""SELECT json_merge_patch('{{}}', to_json({{
       'application_id': application_id,
-      'customer': {{'customer_id': customer_id, 'risk': risk_level}},
-      'loan': {{'amount': loan_amount, 'term_months': term_months}},
-      'documents': [{{'type': 'statement', 'status': decision_status}}]}})::VARCHAR AS value
+      'submitted_at': submitted_at,
+      'customer': {{'customer_id': customer_id, 'region': region, 'risk': risk_level}},
+      'loan': {{'amount': loan_amount, 'term_months': term_months, 'score': score}},
+      'documents': [{{'type': 'statement', 'status': decision_status}}]}}))::VARCHAR AS value
     FROM ({FLAT_SQL.format(orders='orders')})""",
     name="pack_messages",
 )
 def pack_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = {
         "application_id": "application_id",
-        "customer": {"customer_id": "customer_id", "risk": "risk_level"},
-        "loan": {"amount": "loan_amount", "term_months": "term_months"},
+        "submitted_at": "submitted_at",
+        "customer": {"customer_id": "customer_id", "region": "region", "risk": "risk_level"},
+        "loan": {"amount": "loan_amount", "term_months": "term_months", "score": "score"},
         "documents": [{"type": F.lit("statement"), "status": "decision_status"}],
     }
     return pack_messages(spark.sql(FLAT_SQL, orders=load(spark, sf_dir, "orders")), layout)
