@@ -28,49 +28,80 @@ def upsert_by_key(
     A null key is a key like any other. For a target bucketed by its key, ``buckets``
     keeps the old rows in place and lays the new ones out alike; a null key raises.
 
-    The batch is read twice, once for its keys only, so it must not change meanwhile:
-    write rows from a topic to a table first. It is reduced per key on the map side
-    before it is shuffled, so a hot key costs one row per task. The target stays
+    The batch is read again for its keys only, so it must not change meanwhile: write
+    rows from a topic to a table first. With ``order_by`` it is reduced per key on the
+    map side before it is shuffled, so a hot key costs one row per task; without, only
+    its keys are shuffled, to be counted. The target stays
     where it is while the batch keys are below
     ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled by key
     unless bucketed.
     """
     if missing := [k for k in keys if k not in target.columns]:
         raise ValueError(f"keys {missing} are not columns of the target")
-    wanted = [c for c in target.columns if c not in keys]
-    ranked = list(order_by) + [c for c in wanted if c not in order_by]
-
     if buckets is not None:
         batch = batch.withColumns({k: _required(k) for k in keys})
-    newest = batch.groupBy(*keys).agg(
-        F.max(F.struct(*ranked)).alias("row") if ranked else F.lit(None).alias("row"),
-        F.count(F.lit(1)).alias("copies"),
-    )
-    if not order_by:
-        newest = newest.where(_raise_if(F.col("copies") > 1, "key repeated in the batch", keys))
-    incoming = newest.select(
-        *[
-            (F.col(f.name) if f.name in keys else F.col("row")[f.name])
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in target.schema
-        ]
-    )
+    incoming = _newest(target, batch, keys, order_by) if order_by else _checked(target, batch, keys)
 
     if buckets is not None:
         incoming = incoming.repartition(buckets, *keys)
 
-    touched = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    other = {k: _free(k, target.columns) for k in keys}
+    touched = batch.select(*[F.col(k).alias(other[k]) for k in keys]).distinct()
     same_key = reduce(
         and_,
         [
-            F.col(k).eqNullSafe(F.col(f"_{k}")) if buckets is None else F.col(k) == F.col(f"_{k}")
+            F.col(k).eqNullSafe(F.col(other[k])) if buckets is None else F.col(k) == F.col(other[k])
             for k in keys
         ],
     )
     return target.join(touched, same_key, "left_anti").unionByName(incoming)
 
 
+def _newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The largest row of each key."""
+    row = _free("row", keys)
+    wanted = [c for c in target.columns if c not in keys and c not in order_by]
+    newest = batch.groupBy(*keys).agg(F.max(F.struct(*order_by, *wanted)).alias(row))
+    return newest.select(
+        *[
+            (F.col(f.name) if f.name in keys else F.col(row)[f.name]).cast(f.dataType).alias(f.name)
+            for f in target.schema
+        ]
+    )
+
+
+def _checked(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows as they are; only their keys are counted, and a repeated one raises.
+
+    The check adds no row. It is part of the new rows, not of the join, which Spark takes
+    out where the target is empty.
+    """
+    copies = _free("copies", keys)
+    repeated = (
+        batch.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias(copies))
+        .where(F.col(copies) > 1)
+        .where(_raise_if(F.col(copies) > 1, "key repeated in the batch", keys))
+    )
+    rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+    none = repeated.select(
+        *[
+            (F.col(f.name) if f.name in keys else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in target.schema
+        ]
+    )
+    return rows.unionByName(none)
+
+
+def _free(name: str, taken: Sequence[str]) -> str:
+    """``name`` with underscores before it, one at least, until no column has it."""
+    lower = {t.lower() for t in taken}
+    name = "_" + name
+    while name.lower() in lower:
+        name = "_" + name
+    return name
+
+
 def _raise_if(test: Column, message: str, keys: Sequence[str]) -> Column:
     """True for every row that does not raise."""
     text = F.concat(F.lit(f"{message}: "), F.to_json(F.struct(*keys)))

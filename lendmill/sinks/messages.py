@@ -12,7 +12,8 @@ def write_messages(messages: DataFrame, sink: MessageSource) -> None:
     """Append the column ``value``; no key and no deduplication, so a second run adds again.
 
     A text line cannot hold a null body, so a directory gets none; flattening
-    drops such bodies anyway.
+    drops such bodies anyway. A body with a line break raises there, as it would be read
+    back as several; JSON writers escape line breaks.
     """
     bodies = messages.select("value")
     if isinstance(sink, Topic):
@@ -20,4 +21,8 @@ def write_messages(messages: DataFrame, sink: MessageSource) -> None:
         writer.mode("append").save()
     else:
         present = bodies.where(F.col("value").isNotNull())
+        broken = F.raise_error(F.lit("a message body has a line break"))
+        present = present.select(
+            F.when(F.col("value").cast("string").rlike(r"[\n\r]"), broken).otherwise(F.col("value")).alias("value")
+        )
         present.write.mode("append").option("lineSep", "\n").text(sink.path)

@@ -219,3 +219,12 @@ def test_one_message_may_hold_many_documents(spark):
     body = json.dumps({"application_id": "a", "documents": documents})
     flat = flatten_messages(one(spark, body))
     assert flat.agg(F.count("*"), F.countDistinct("doc_type")).first() == (100_000, 100_000)
+
+
+def test_body_with_a_line_break_raises_in_a_directory(spark, tmp_path):
+    from lendmill.sinks import write_messages
+    from lendmill.sources import MessageDir
+
+    rows = spark.createDataFrame([("{}\n{}",)], "value string")
+    with pytest.raises(Exception, match="line break"):
+        write_messages(rows, MessageDir(str(tmp_path / "out")))

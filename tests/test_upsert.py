@@ -161,3 +161,25 @@ def test_null_key_raises_where_excluded(spark):
 def test_keyed_upsert_onto_itself_raises(spark, tmp_path):
     with pytest.raises(ValueError, match="same"):
         run_keyed_upsert(spark, "t", spark.range(1), "t", str(tmp_path), keys=["id"], buckets=2)
+
+
+def test_names_of_own_columns_and_maps(spark):
+    target = spark.sql("SELECT 1 AS row, 1 AS copies, 'a' AS _row, map('x', 1) AS held")
+    batch = spark.sql(
+        "SELECT * FROM VALUES (1, 1, 'b', map('x', 2)), (2, 1, 'c', map('y', 3)) AS t(row, copies, _row, held)"
+    )
+    found = upsert_by_key(target, batch, ["row", "copies"])
+    assert sorted((r["row"], r["_row"], r["held"]) for r in found.collect()) == [
+        (1, "b", {"x": 2}), (2, "c", {"y": 3})
+    ]
+    plain, newer = target.drop("held"), batch.drop("held").selectExpr("*", "1 AS ts")
+    assert upsert_by_key(plain, newer, ["row", "copies"], ["ts"]).count() == 2
+    with pytest.raises(Exception, match="key repeated"):
+        upsert_by_key(target.limit(0), batch.unionAll(batch), ["row", "copies"]).collect()
+
+
+def test_rows_without_order_are_not_sorted_or_grouped(spark):
+    batch = spark.range(100).selectExpr("id AS account", "cast(id AS string) AS state")
+    found = upsert_by_key(batch.where("account < 50"), batch, ["account"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "max(" not in plan
