@@ -222,9 +222,6 @@ def test_one_message_may_hold_many_documents(spark):
 
 
 def test_body_with_a_line_break_raises_in_a_directory(spark, tmp_path):
-    from lendmill.sinks import write_messages
-    from lendmill.sources import MessageDir
-
     rows = spark.createDataFrame([("{}\n{}",)], "value string")
     with pytest.raises(Exception, match="line break"):
         write_messages(rows, MessageDir(str(tmp_path / "out")))
