@@ -108,4 +108,4 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_report(load(spark, sf_dir, "documents"))
+    return line_report(load(spark, sf_dir, "documents"), whole=True)
