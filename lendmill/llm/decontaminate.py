@@ -1,21 +1,14 @@
-"""Benchmark decontamination by CGK embedding and bit-sampling LSH.
-
-The CGK embedding reads a sequence of words by a random walk: at step t it writes the
-word at its place and moves on if a random bit of (t, word) says so. Two sequences within
-a small edit distance become two strings that mostly agree place by place, so edit
-distance turns into Hamming distance. Sampling a few places of the strings then gives
-hash keys that similar sequences share; repetitions with other walks and other samples
-raise the recall to a target.
-
-Windows of the size of the benchmark items are taken from the documents at every few
-words, and from the items at every word, so that each copy of an item meets a window of
-it at some shift. Every hit is verified by the exact edit distance, in words, of the
-whole item to the best place around the window.
+"""Benchmark decontamination by exact pieces and edit distance.
+
+An item of which k words may be edited is cut into k + 1 pieces. An edit touches one piece
+at most, so wherever a document holds the item, it holds one of the pieces unchanged, in
+the order of its words. The pieces are looked up at every word of the documents, so no
+place is missed. Every hit is verified by the exact edit distance, in words, of the whole
+item to the best place around the piece.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,132 +25,92 @@ from lendmill.llm.words import PUNCTUATION, SPACES, chunks, mix, words
 BLOCK_ITEMS = 20_000
 #: An item is found where at most this many percent of its words are edited.
 PERCENT_APART = 20
-#: Windows of a document begin at every such word.
-STRIDE = 8
-WINDOWS = (4, 8, 16, 32, 64)
-SAMPLED = 4
-#: The share of windows with one edited word that must be met in some repetition.
-RECALL = 0.95
-MOST_REPETITIONS = 6
 CHUNK_BYTES = 512 << 10
 
 
 @dataclass
 class Class:
-    """The items whose windows have ``size`` words; ``stride`` is that of the documents.
+    """The items with pieces of ``piece`` words; a window of ``size`` words is two of them,
+    or the one piece of an item that may not be edited.
 
-    ``keys`` of each repetition are ascending; ``item`` and ``shift`` belong to them.
+    ``keys`` are ascending; ``item`` and ``shift``, where in the item the piece begins,
+    belong to them.
     """
 
     size: int
-    stride: int
-    places: list[np.ndarray]
-    keys: list[np.ndarray]
-    item: list[np.ndarray]
-    shift: list[np.ndarray]
-
-
-def window_class(n: int) -> tuple[int, int]:
-    """Window size and stride for an item of ``n`` words: the largest size of which a
-    window fits at every shift of the stride; a short item is one window, at every word."""
-    for size in reversed(WINDOWS):
-        if size + STRIDE - 1 <= n:
-            return size, STRIDE
-    return n, 1
+    piece: int
+    keys: np.ndarray
+    item: np.ndarray
+    shift: np.ndarray
 
 
-def embedded_keys(windows: np.ndarray, places: np.ndarray, repetition: int) -> np.ndarray:
-    """The hash of the sampled places of each row's embedding, by one walk over all rows.
+def repetitions(size: int) -> int:
+    """The pieces of a window, so that one edited word leaves one of them as it is."""
+    return min(2, size)
 
-    A walk has twice as many steps as the window has words and stays behind the last one.
-    """
-    rows, size = windows.shape
-    own = np.zeros((rows, size + 1), np.uint64)
-    own[:, :size] = mix(windows, 2 * repetition + 1)
-    flat, base = own.ravel(), np.arange(rows) * (size + 1)
-    at = base.copy()
-    last = base + size
-    key = np.zeros(rows, np.uint64)
-    sampled = set(places.tolist())
-    for t in range(int(places.max()) + 1):
-        word = flat[at]
-        if t in sampled:
-            key = mix(key + word, 5)
-        at += ((word >> np.uint64(t % 64)) & np.uint64(1)).astype(np.int64)
-        if t >= size:
-            np.minimum(at, last, out=at)
-    return key
 
+def window_class(n: int, percent: int = PERCENT_APART) -> tuple[int, int, int]:
+    """The words of a window and of a piece, and the number of pieces, for ``n`` words."""
+    pieces = min(n, n * percent // 100 + 1)
+    piece = n // pieces
+    return piece * min(pieces, repetitions(2 * piece)), piece, pieces
 
-def _sampled(size: int, repetition: int) -> np.ndarray:
-    rng = np.random.default_rng([size, repetition])
-    return np.sort(rng.choice(2 * size, min(SAMPLED, 2 * size), replace=False))
 
-
-def repetitions(size: int, recall: float = RECALL) -> int:
-    """How many repetitions bring windows of which one word is edited to the recall, by the
-    share of such windows that agree in one, measured on random words."""
-    rng = np.random.default_rng(size)
-    words_ = rng.integers(1, 1 << 62, (2000, size)).astype(np.uint64)
-    edited = words_.copy()
-    edited[np.arange(2000), rng.integers(0, size, 2000)] = rng.integers(1, 1 << 62, 2000).astype(np.uint64)
-    places = _sampled(size, 0)
-    share = float((embedded_keys(words_, places, 0) == embedded_keys(edited, places, 0)).mean())
-    if share >= 1:
-        return 1
-    needed = math.log(1 - recall) / math.log(1 - max(share, 0.05))
-    return min(MOST_REPETITIONS, max(1, math.ceil(needed)))
+def piece_keys(hashes: np.ndarray, piece: int) -> np.ndarray:
+    """The hash of the ``piece`` words that begin at each word but the last ones."""
+    count = max(0, len(hashes) - piece + 1)
+    key = np.zeros(count, np.uint64)
+    for k in range(piece):
+        key = mix(key + hashes[k : k + count], 5)
+    return key
 
 
-def index(items: list[tuple[int, np.ndarray]]) -> list[Class]:
-    """The classes of the items' windows; an item is its place in ``items``."""
-    by: dict[tuple[int, int], list[int]] = {}
+def index(items: list[tuple[int, np.ndarray]], percent: int = PERCENT_APART) -> list[Class]:
+    """The classes of the items' pieces; an item is its place in ``items``."""
+    by: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
     for i, (_, hashes) in enumerate(items):
         if len(hashes):
-            by.setdefault(window_class(len(hashes)), []).append(i)
+            size, piece, pieces = window_class(len(hashes), percent)
+            by.setdefault((size, piece), []).append((i, np.arange(pieces) * piece))
     classes = []
-    for (size, stride), members in sorted(by.items()):
-        item = np.concatenate([np.full(len(items[i][1]) - size + 1, i) for i in members])
-        shift = np.concatenate([np.arange(len(items[i][1]) - size + 1) for i in members])
-        windows = np.concatenate(
-            [np.lib.stride_tricks.sliding_window_view(items[i][1], size) for i in members]
-        )
-        found = Class(size, stride, [], [], [], [])
-        for r in range(repetitions(size)):
-            places = _sampled(size, r)
-            keys = embedded_keys(windows, places, r)
-            order = np.argsort(keys, kind="stable")
-            found.places.append(places)
-            found.keys.append(keys[order])
-            found.item.append(item[order])
-            found.shift.append(shift[order])
-        classes.append(found)
+    for (size, piece), members in sorted(by.items()):
+        keys = np.concatenate([piece_keys(items[i][1], piece)[shifts] for i, shifts in members])
+        item = np.concatenate([np.full(len(shifts), i) for i, shifts in members])
+        shift = np.concatenate([shifts for _, shifts in members])
+        order = np.argsort(keys, kind="stable")
+        classes.append(Class(size, piece, keys[order], item[order], shift[order]))
     return classes
 
 
 def candidates(hashes: np.ndarray, text: np.ndarray, firsts: np.ndarray, counts: np.ndarray, classes: list[Class]) -> np.ndarray:
-    """Distinct rows of text, item and the word at which the item would begin."""
-    hits = []
+    """Distinct rows of text, item and the word at which the item would begin, ascending."""
+    hits = [np.empty((0, 3), np.int64)]
     for c in classes:
-        within = np.arange(len(hashes)) - firsts[text]
-        last = counts[text] - c.size
-        # of a text whose last words are no multiple of the stride away, also the last window
-        begin = np.flatnonzero(((within % c.stride == 0) | (within == last)) & (within <= last))
-        if not len(begin):
-            continue
-        windows = np.lib.stride_tricks.sliding_window_view(hashes, c.size)
-        for low in range(0, len(begin), 1 << 14):
-            part = begin[low : low + (1 << 14)]
-            own = windows[part]
-            for r, places in enumerate(c.places):
-                keys = embedded_keys(own, places, r)
-                a = np.searchsorted(c.keys[r], keys)
-                b = np.searchsorted(c.keys[r], keys, side="right")
-                for w in np.flatnonzero(b > a):
-                    at = part[w]
-                    for k in range(a[w], b[w]):
-                        hits.append((text[at], c.item[r][k], at - c.shift[r][k]))
-    return np.unique(np.array(hits, np.int64).reshape(-1, 3), axis=0)
+        keys = piece_keys(hashes, c.piece)
+        a = np.searchsorted(c.keys, keys)
+        met = np.flatnonzero(c.keys[np.minimum(a, len(c.keys) - 1)] == keys)
+        # not those that run on into the next text
+        met = met[met + c.piece <= (firsts + counts)[text[met]]]
+        times = np.searchsorted(c.keys, keys[met], side="right") - a[met]
+        at = np.repeat(met, times)
+        k = np.repeat(a[met] - np.cumsum(times) + times, times) + np.arange(len(at))
+        hits.append(np.stack([text[at], c.item[k], at - c.shift[k]], axis=1).astype(np.int64))
+    return np.unique(np.concatenate(hits), axis=0)
+
+
+def regions(found: np.ndarray, lengths: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of text, item and the words from and to which a place of the item may reach;
+    those of one text and item that overlap are one, so that no word is read twice."""
+    if not len(found):
+        return np.empty((0, 4), np.int64)
+    text, item, begin = found.T
+    n = lengths[item]
+    most = n * percent // 100
+    new = np.ones(len(found), bool)
+    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(begin) > (n + 3 * most)[1:])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(found)) - 1
+    return np.stack([text[first], item[first], (begin - most)[first], (begin + n + 2 * most)[last]], axis=1)
 
 
 def least_edits(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -186,6 +139,8 @@ def least_edits(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
 
 
 def _matching(items: list[tuple[int, np.ndarray]], classes: list[Class], percent: int):
+    lengths = np.array([len(hashes) for _, hashes in items], np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -193,12 +148,12 @@ def _matching(items: list[tuple[int, np.ndarray]], classes: list[Class], percent
             for chunk in chunks(batch.column("text"), CHUNK_BYTES):
                 found = words(chunk, SPACES + PUNCTUATION)
                 best: dict[tuple[int, int], tuple[int, int]] = {}
-                for text, i, begin in candidates(found.hashes, found.text, found.firsts, found.counts, classes).tolist():
+                met = candidates(found.hashes, found.text, found.firsts, found.counts, classes)
+                for text, i, low, high in regions(met, lengths, percent).tolist():
                     item = items[i][1]
                     most = len(item) * percent // 100
                     first = int(found.firsts[text])
-                    low = max(first, begin - most)
-                    high = min(first + int(found.counts[text]), begin + len(item) + 2 * most)
+                    low, high = max(first, low), min(first + int(found.counts[text]), high)
                     edits, end = least_edits(item, found.hashes[low:high])
                     if edits <= most:
                         at = (edits, low - first + end)
@@ -243,7 +198,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -
                 for k, (a, n) in enumerate(zip(parts.firsts, parts.counts))
             ]
         own = documents(docs, "doc_id", "text").mapInArrow(
-            _matching(held, index(held), percent),
+            _matching(held, index(held, percent), percent),
             "doc_id long, item_id long, edits int, similarity double, end_word long",
         )
         found = own if found is None else found.unionByName(own)
