@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from lendmill.llm.tables import documents
 from lendmill.llm.words import PUNCTUATION, SPACES, chunks, mix, words
 
-#: Items of a block, whose index every task holds; each block is one pass over the documents.
+#: Items of a block and bytes of their texts at most, a longer item is a block of its own.
+#: Every task holds the index of a block; each block is one pass over the documents.
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 8 << 20
 #: An item is found where at most this many percent of its words are edited.
 PERCENT_APART = 20
 CHUNK_BYTES = 512 << 10
@@ -175,6 +177,23 @@ def _matching(items: list[tuple[int, np.ndarray]], classes: list[Class], percent
     return run
 
 
+def blocks(items: DataFrame) -> list[tuple[int, int]]:
+    """The least and the greatest hash of the items of each block."""
+    sized = items.select(
+        F.xxhash64("item_id", "text").alias("key"), F.octet_length("text").alias("bytes")
+    ).toArrow().sort_by("key")
+    found: list[tuple[int, int]] = []
+    count = total = 0
+    for key, size in zip(sized.column("key").to_pylist(), sized.column("bytes").to_pylist()):
+        full = count == BLOCK_ITEMS or total + size > BLOCK_BYTES
+        if not found or full and key != found[-1][1]:
+            found.append((key, key))
+            count = total = 0
+        found[-1] = found[-1][0], key
+        count, total = count + 1, total + size
+    return found or [(0, 0)]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -> DataFrame:
     """``doc_id``, ``item_id``, ``edits``, ``similarity``, ``end_word`` for each document row
     and benchmark item that it holds, with at most ``percent`` of the item's words edited.
@@ -182,13 +201,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -
     Words are lower-cased and end at white space and ASCII punctuation. ``end_word`` counts
     the document's words up to the end of the best place, the first of equal ones. Null and
     empty texts and items without words match nothing. The benchmark is taken in blocks of
-    bounded size; each block is one pass over the documents without a shuffle.
+    a bounded number of items and bytes; each block is one pass over the documents without a shuffle.
     """
     items = documents(benchmark, "item_id", "text").where("text IS NOT NULL").distinct()
-    blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     found = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()
+    for least, greatest in blocks(items):
+        rows = items.where(F.xxhash64("item_id", "text").between(least, greatest)).toArrow()
         rows = rows.sort_by([("item_id", "ascending"), ("text", "ascending")])
         held = []
         for chunk in chunks(pc.cast(rows.column("text"), pa.large_string())):

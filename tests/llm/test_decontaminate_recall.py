@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from lendmill.llm.decontaminate import leaks
+from lendmill.llm import decontaminate
+from lendmill.llm.decontaminate import blocks, leaks
 from tests.llm.test_decontaminate import DOCS, ITEMS, brute_edits
 
 
@@ -39,3 +40,18 @@ def test_repeated_words_are_read_once(spark):
     items = [(1, "la " * 30), (2, "la la la la la end")]
     found = leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
     assert {(r["doc_id"], r["item_id"], r["edits"], r["end_word"]) for r in found} == {(1, 1, 0, 30), (1, 2, 0, 20_001)}
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [(i, " ".join(word() for _ in range(300 if i == 7 else 20))) for i in range(60)]
+    frames = spark.createDataFrame(items, DOCS), spark.createDataFrame(items, ITEMS)
+    whole = sorted(map(tuple, leaks(*frames).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1000)
+    ranges = blocks(frames[1])
+    keyed = frames[1].selectExpr("item_id", "xxhash64(item_id, text) AS key", "octet_length(text) AS bytes").collect()
+    held = [[r for r in keyed if low <= r["key"] <= high] for low, high in ranges]
+    assert all(len(b) == 1 or sum(r["bytes"] for r in b) <= 1000 for b in held)
+    assert sorted(r["item_id"] for b in held for r in b) == list(range(60))
+    assert sorted(map(tuple, leaks(*frames).collect())) == whole and len(whole) >= 60
