@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendmill.llm.tables import documents
+from lendmill.llm.tables import documents, fresh
 from lendmill.llm.words import PUNCTUATION, SPACES, chunks, mix, words
 
 #: Items of a block and bytes of their texts at most, a longer item is a block of its own.
@@ -223,8 +224,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found; rows of one ``doc_id`` go
-    together, rows without ``doc_id`` stay."""
-    gone = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*(docs[f"`{c}`"] for c in docs.columns))
+    together. With ``whole`` rows without ``doc_id`` are judged by their own text, else
+    they stay."""
+    names = docs.columns
+    if not whole:
+        gone = leaks(docs, benchmark).select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*(docs[f"`{c}`"] for c in names))
+    # a hash may equal some doc_id, so rows with and without one are told apart
+    own, key = fresh(names, "named"), fresh(names, "key")
+    marked = docs.withColumn(own, F.col("doc_id").isNotNull()).withColumn(
+        key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    )
+    gone = reduce(
+        DataFrame.unionByName,
+        (
+            leaks(marked.where(F.col(own) == named).select(F.col(key).alias("doc_id"), "text"), benchmark)
+            .select(F.col("doc_id").alias(key))
+            .distinct()
+            .withColumn(own, F.lit(named))
+            for named in (True, False)
+        ),
+    )
+    return marked.join(gone, [own, key], "left_anti").select(*(F.col(f"`{n}`") for n in names))

@@ -270,6 +270,6 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is determined with a sufficient score, each
-    judged by its own text. Rows without ``doc_id`` stay. Nothing is shuffled."""
+    judged by its own text, also rows without ``doc_id``. Nothing is shuffled."""
     accept = F.arrow_udf(_accepting(_trained(docs)), "boolean")
-    return docs.where(F.col("doc_id").isNull() | accept(F.col("text"), _has_letters()))
+    return docs.where(accept(F.col("text"), _has_letters()))

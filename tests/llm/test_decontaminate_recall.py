@@ -5,7 +5,7 @@ import random
 import pytest
 
 from lendmill.llm import decontaminate
-from lendmill.llm.decontaminate import blocks, leaks
+from lendmill.llm.decontaminate import blocks, clean, leaks
 from tests.llm.test_decontaminate import DOCS, ITEMS, brute_edits
 
 
@@ -55,3 +55,10 @@ def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
     assert all(len(b) == 1 or sum(r["bytes"] for r in b) <= 1000 for b in held)
     assert sorted(r["item_id"] for b in held for r in b) == list(range(60))
     assert sorted(map(tuple, leaks(*frames).collect())) == whole and len(whole) >= 60
+
+
+def test_rows_without_doc_id_are_judged_by_their_text(spark):
+    docs = [(None, "x alpha beta gamma y"), (None, "nothing here"), (None, None), (1, "alpha beta gamma"), (1, "other"), (2, "nothing here")]
+    benchmark = spark.createDataFrame([(1, "alpha beta gamma")], ITEMS)
+    kept = clean(spark.createDataFrame(docs, DOCS), benchmark, whole=True)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([docs[1], docs[2], docs[5]], key=str)
