@@ -8,15 +8,18 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendmill.llm.bpe import bpe_digests
 from lendmill.llm.chat import conversation_digests, format_chat, text_part
 from lendmill.llm.decontaminate import leaks
 from lendmill.llm.host_rules import host_rules
 from lendmill.llm.jaccard import jaccard_components
 from lendmill.llm.language import identify
 from lendmill.llm.line_dedup import line_report
+from lendmill.llm.negatives import ANCHOR_EACH, hard_negatives, whole_rows
 from lendmill.llm.packing import packed_documents
 from lendmill.llm.sharding import even_tree, sharded
-from lendmill.llm.tables import importable
+from lendmill.llm.spelling import spelling_variants
+from lendmill.llm.tables import importable, stored
 from lendmill.llm.token_files import token_digests
 from lendmill.llm.toxicity import toxicity
 
@@ -43,6 +46,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 SHARDS = 16
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+#: Of ids divisible by this the label is moved on, modulo the number of labels.
+MOVED, LABELS = 7, 10
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -109,3 +115,22 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(load(spark, sf_dir, "documents"), whole=True)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(load(spark, sf_dir, "documents"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(load(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % MOVED == 0, (F.col("label") + 1) % LABELS)
+    rows = rows.withColumn("label", moved.otherwise(F.col("label")))
+    rows = stored(whole_rows(rows), "negative-rows")
+    return hard_negatives(rows, F.col("vec_id") % ANCHOR_EACH == 0)
