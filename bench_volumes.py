@@ -72,12 +72,12 @@ def main(factor: int) -> None:
         150_000 * loans,
         lambda: run_loan_batch(spark, loan_csv, place("out"), REPORT_DATE),
     )
-    run_call_upsert(spark, None, call_rows, table)
-    run("call_load", calls, lambda: run_call_upsert(spark, None, call_rows, place("calls")))
+    run_call_upsert(spark, table, call_rows)
+    run("call_load", calls, lambda: run_call_upsert(spark, place("calls"), call_rows))
     run(
         "call_upsert",
         calls,
-        lambda: run_call_upsert(spark, table, call_rows.where("call_status = 'approved'"), place("calls")),
+        lambda: run_call_upsert(spark, table, call_rows.where("call_status = 'approved'")),
     )
     run("call_snapshot", calls, lambda: run_call_snapshot(spark, table, place("csv")))
     spark.stop()

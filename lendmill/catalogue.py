@@ -8,7 +8,6 @@ mixed-case and blank-prefixed statuses by value, so that every rule fires.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +41,6 @@ from lendmill.plans import (
     run_dashboard,
     run_flatten_batch,
     run_flatten_stream,
-    run_keyed_upsert,
     run_loan_batch,
     run_publish,
 )
@@ -50,10 +48,12 @@ from lendmill.plans.dashboard import chart_base
 from lendmill.schemas import CALLS, FLAT, MESSAGE_LAYOUT, table
 from lendmill.sinks import (
     export_csv,
+    read_keyed_table,
+    refresh_table,
     snapshot_table,
+    upsert_keyed_table,
     write_keyed_table,
     write_messages,
-    write_parquet,
 )
 from lendmill.sources import (
     MessageDir,
@@ -430,7 +430,7 @@ def csv_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked("SELECT * FROM lineitem")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, path = load(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")
-    write_parquet(lineitem, path)
+    refresh_table(lineitem, path)
     return read_parquet_table(spark, path, lineitem.schema)
 
 
@@ -481,32 +481,48 @@ def upsert_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
       ON l_orderkey = o_orderkey"""
 )
 def upsert_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as a bucketed table; each order that has line items is replaced by their number."""
-    held, merged = (f"accounts_{uuid.uuid4().hex}" for _ in range(2))
+    """Orders as a keyed table; each order that has line items is replaced by their number."""
+    path, keys = scratch_path(spark, "accounts"), ["account"]
     orders = load(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS account", "o_orderstatus AS state", "CAST(0 AS BIGINT) AS lines"
     )
     billed = load(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("account")).agg(
         F.lit("billed").alias("state"), F.count(F.lit(1)).alias("lines")
     )
-    keys, buckets = ["account"], int(spark.conf.get("spark.sql.shuffle.partitions"))
-    write_keyed_table(orders, held, scratch_path(spark, "accounts"), keys, buckets)
-    path = scratch_path(spark, "accounts")
-    run_keyed_upsert(spark, held, billed, merged, path, keys=keys, buckets=buckets)
-    result = spark.table(merged)
-    for name in (held, merged):
-        spark.sql(f"DROP TABLE {name}")
-    return read_parquet_table(spark, path, result.schema)
+    write_keyed_table(orders, path, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    upsert_keyed_table(spark, path, billed)
+    return read_keyed_table(spark, path)
+
+
+@checked(
+    """SELECT o_orderkey AS account, o_orderpriority AS state, CASE o_orderpriority
+      WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3 ELSE 0 END AS version
+    FROM orders WHERE o_orderstatus != 'P' OR o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"""
+)
+def upsert_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches into one keyed table, the later ones over the first one's rows and new ones."""
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS account", "o_orderpriority AS state", "0 AS version", "o_orderstatus AS status"
+    )
+    path, keys = scratch_path(spark, "accounts"), ["account"]
+    held = orders.where("status != 'P'").withColumn("state", F.coalesce("state", F.lit("none")))
+    write_keyed_table(held.drop("status"), path, keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for version, priority in enumerate(["1-URGENT", "2-HIGH", "3-MEDIUM"], 1):
+        batch = orders.where(F.col("state") == priority).withColumn("version", F.lit(version))
+        older = batch.withColumns({"version": F.lit(0), "state": F.lit("older")})
+        upsert_keyed_table(spark, path, batch.unionByName(older), order_by=["version"])
+    return read_keyed_table(spark, path)
 
 
 @checked(CALLS_SQL.format(orders="orders"))
 def call_upsert_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First load without the pending calls, then all calls, then the CSV snapshot."""
     table_calls = calls(spark, sf_dir)
-    first, second, snapshot = (scratch_path(spark, name) for name in ("calls", "calls", "calls_csv"))
-    run_call_upsert(spark, None, table_calls.where("call_status != 'callback'"), first)
-    run_call_upsert(spark, first, table_calls.where("call_status != 'answered'"), second)
-    run_call_snapshot(spark, second, snapshot)
+    table_path, snapshot = scratch_path(spark, "calls"), scratch_path(spark, "calls_csv")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    run_call_upsert(spark, table_path, table_calls.where("call_status != 'callback'"), buckets=buckets)
+    run_call_upsert(spark, table_path, table_calls.where("call_status != 'answered'"))
+    run_call_snapshot(spark, table_path, snapshot)
     return read_csv_dir(spark, snapshot, CALLS)
 
 

@@ -21,8 +21,10 @@ from lendmill.plans import (
     run_loan_batch,
     run_publish,
 )
+from lendmill.plans.call_table import CALL_BUCKETS
 from lendmill.plans.message_flow import EXTRACT_ROWS
 from lendmill.schemas import CALLS, FLAT
+from lendmill.sinks import read_keyed_table
 from lendmill.sources import MessageDir, MessageSource, Topic, read_csv_dir, read_parquet_table
 
 PREVIEW_ROWS = 10
@@ -84,11 +86,12 @@ def dashboard(spark: SparkSession, args: argparse.Namespace) -> object:
 
 def call_upsert(spark: SparkSession, args: argparse.Namespace) -> object:
     batch = read_csv_dir(spark, args.batch, CALLS)
-    return {"rows": run_call_upsert(spark, args.current, batch, args.output)}
+    order = args.order_by.split(",") if args.order_by else ()
+    return {"rows": run_call_upsert(spark, args.table, batch, order, args.buckets)}
 
 
 def call_queries(spark: SparkSession, args: argparse.Namespace) -> object:
-    for frame in call_report(read_parquet_table(spark, args.table, CALLS)).values():
+    for frame in call_report(read_keyed_table(spark, args.table)).values():
         frame.show(truncate=False)
     return {"table": args.table}
 
@@ -135,8 +138,9 @@ def parser() -> argparse.ArgumentParser:
 
     job("dashboard", dashboard, "flat", "output", help=run_dashboard.__doc__)
 
-    sub = job("call-upsert", call_upsert, "batch", "output", help=run_call_upsert.__doc__)
-    sub.add_argument("--current")
+    sub = job("call-upsert", call_upsert, "batch", "table", help=run_call_upsert.__doc__)
+    sub.add_argument("--order-by", help="columns by which the last row of a repeated key wins")
+    sub.add_argument("--buckets", type=int, default=CALL_BUCKETS)
     job("call-report", call_queries, "table", help=call_report.__doc__)
     job("call-snapshot", call_snapshot, "table", "csv", help=run_call_snapshot.__doc__)
     return top

@@ -15,8 +15,6 @@ def upsert_by_key(
     batch: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] = (),
-    *,
-    buckets: int | None = None,
 ) -> DataFrame:
     """``target`` with the rows of ``batch`` put in, replacing rows of the same key.
 
@@ -25,41 +23,29 @@ def upsert_by_key(
     remaining columns. Without it a repeated key raises. Order columns that
     ``target`` lacks are dropped.
 
-    A null key is a key like any other. For a target bucketed by its key, ``buckets``
-    keeps the old rows in place and lays the new ones out alike; a null key raises.
+    A null key is a key like any other.
 
     The batch is read again for its keys only, so it must not change meanwhile: write
     rows from a topic to a table first. With ``order_by`` it is reduced per key on the
     map side before it is shuffled, so a hot key costs one row per task; without, only
     its keys are shuffled, to be counted. The target stays
     where it is while the batch keys are below
-    ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled by key
-    unless bucketed.
+    ``spark.sql.autoBroadcastJoinThreshold``; beyond that it is shuffled by key.
+    A keyed table (``upsert_keyed_table``) reads only the part of it that the batch touches.
     """
     if missing := [k for k in keys if k not in target.columns]:
         raise ValueError(f"keys {missing} are not columns of the target")
-    if buckets is not None:
-        batch = batch.withColumns({k: _required(k) for k in keys})
     incoming = _newest(target, batch, keys, order_by) if order_by else _checked(target, batch, keys)
 
-    if buckets is not None:
-        incoming = incoming.repartition(buckets, *keys)
-
-    other = {k: _free(k, target.columns) for k in keys}
+    other = {k: free_name(k, target.columns) for k in keys}
     touched = batch.select(*[F.col(k).alias(other[k]) for k in keys]).distinct()
-    same_key = reduce(
-        and_,
-        [
-            F.col(k).eqNullSafe(F.col(other[k])) if buckets is None else F.col(k) == F.col(other[k])
-            for k in keys
-        ],
-    )
+    same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(other[k])) for k in keys])
     return target.join(touched, same_key, "left_anti").unionByName(incoming)
 
 
 def _newest(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The largest row of each key."""
-    row = _free("row", keys)
+    row = free_name("row", keys)
     wanted = [c for c in target.columns if c not in keys and c not in order_by]
     newest = batch.groupBy(*keys).agg(F.max(F.struct(*order_by, *wanted)).alias(row))
     return newest.select(
@@ -76,7 +62,7 @@ def _checked(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     The check adds no row. It is part of the new rows, not of the join, which Spark takes
     out where the target is empty.
     """
-    copies = _free("copies", keys)
+    copies = free_name("copies", keys)
     repeated = (
         batch.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias(copies))
@@ -93,7 +79,7 @@ def _checked(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
     return rows.unionByName(none)
 
 
-def _free(name: str, taken: Sequence[str]) -> str:
+def free_name(name: str, taken: Sequence[str]) -> str:
     """``name`` with underscores before it, one at least, until no column has it."""
     lower = {t.lower() for t in taken}
     name = "_" + name
@@ -106,8 +92,3 @@ def _raise_if(test: Column, message: str, keys: Sequence[str]) -> Column:
     """True for every row that does not raise."""
     text = F.concat(F.lit(f"{message}: "), F.to_json(F.struct(*keys)))
     return F.when(test, F.raise_error(text)).otherwise(True).cast("boolean")
-
-
-def _required(key: str) -> Column:
-    missing = F.raise_error(F.lit(f"null in key column {key}"))
-    return F.when(F.col(key).isNull(), missing).otherwise(F.col(key))

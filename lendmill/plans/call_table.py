@@ -6,58 +6,54 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lendmill.operators import count_by, stored_head, upsert_by_key
 from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import CALLS, CALLS_KEY
-from lendmill.sinks import snapshot_table, write_keyed_table, write_parquet
-from lendmill.sources import read_parquet_table
+from lendmill.sinks import read_keyed_table, snapshot_table, upsert_keyed_table, write_keyed_table
+from lendmill.versions import Versions
 
 PREVIEW_ROWS = 10
+#: Parts of a call table, for some tens of GB.
+CALL_BUCKETS = 64
 
 
 def run_call_upsert(
     spark: SparkSession,
-    current_path: str | None,
+    table_path: str,
     batch: DataFrame,
-    output_path: str,
     order_by: Sequence[str] = (),
+    buckets: int = CALL_BUCKETS,
 ) -> int:
-    """Write the call table with the batch put in to a new path; returns its number of rows.
+    """Put a batch into the call table; returns its number of rows then.
 
-    ``current_path`` is None for the first load.
+    The first batch makes the table, with ``buckets`` parts. Later ones write only the parts
+    that hold keys of the batch.
     """
-    output_path = check_path("output_path", output_path)
-    if current_path is None:
-        current = spark.createDataFrame([], CALLS)
-    else:
-        current_path = check_path("current_path", current_path)
-        check_apart(spark, current_path=current_path, output_path=output_path)
-        current = read_parquet_table(spark, current_path, CALLS)
-    merged = upsert_by_key(current, batch, CALLS_KEY, order_by)
-    return write_parquet(merged, output_path)["rows"]
+    return run_keyed_upsert(
+        spark, table_path, batch, keys=CALLS_KEY, schema=CALLS, buckets=buckets, order_by=order_by
+    )
 
 
 def run_keyed_upsert(
     spark: SparkSession,
-    table: str,
+    table_path: str,
     batch: DataFrame,
-    output_table: str,
-    output_path: str,
     *,
-    keys: Sequence[str] = CALLS_KEY,
+    keys: Sequence[str],
+    schema: StructType,
     buckets: int,
     order_by: Sequence[str] = (),
-) -> None:
-    """The same for a catalog table bucketed by key, which even a large batch leaves in place.
-
-    One task rewrites one bucket: take enough ``buckets`` for the size of the table.
-    """
-    if table == output_table:
-        raise ValueError(f"table and output_table are the same: {table}")
-    output_path = check_path("output_path", output_path)
-    merged = upsert_by_key(spark.table(table), batch, keys, order_by, buckets=buckets)
-    write_keyed_table(merged, output_table, output_path, keys, buckets, in_place=True)
+) -> int:
+    """The same for a table of any schema and key."""
+    table_path = check_path("table_path", table_path)
+    if Versions(spark, table_path).current() is None:
+        first = upsert_by_key(spark.createDataFrame([], schema), batch, keys, order_by)
+        write_keyed_table(first, table_path, keys, buckets)
+    else:
+        upsert_keyed_table(spark, table_path, batch, order_by)
+    return read_keyed_table(spark, table_path).count()
 
 
 def call_report(calls: DataFrame) -> dict[str, DataFrame]:
@@ -74,4 +70,4 @@ def run_call_snapshot(spark: SparkSession, table_path: str, csv_path: str) -> No
     table_path = check_path("table_path", table_path)
     csv_path = check_path("csv_path", csv_path)
     check_apart(spark, table_path=table_path, csv_path=csv_path)
-    snapshot_table(read_parquet_table(spark, table_path, CALLS), csv_path)
+    snapshot_table(read_keyed_table(spark, table_path), csv_path)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lendmill.operators import count_by, histogram, share_by
 from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import FLAT
-from lendmill.sinks import write_parquet
-from lendmill.sources import read_parquet_table
+from lendmill.sinks import refresh_table
+from lendmill.sources import read_parquet_table, table_path
 
 CHART_KEYS = ("risk_level", "decision_status", "region", "score")
 
@@ -53,8 +53,8 @@ def run_dashboard(spark: SparkSession, flat_path: str, output_path: str) -> dict
     base = chart_base(read_parquet_table(spark, flat_path, FLAT))
     written = {name: f"{output_path}/{name}" for name in dashboard_charts(base)}
     check_apart(spark, flat_path=flat_path, base_path=base_path, **written)
-    write_parquet(base, base_path)
+    refresh_table(base, base_path)
     grouped = read_parquet_table(spark, base_path, base.schema)
     for name, chart in dashboard_charts(grouped).items():
-        write_parquet(chart, written[name])
-    return written
+        refresh_table(chart, written[name])
+    return {name: table_path(spark, path) for name, path in written.items()}

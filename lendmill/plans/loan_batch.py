@@ -12,8 +12,8 @@ from lendmill.operators import application_metrics, enrich_applications
 from lendmill.operators.metrics import METRIC_KEYS, STAT_MEANS, figures
 from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import APPLICATIONS
-from lendmill.sinks import write_parquet
-from lendmill.sources import read_csv_dir, read_parquet_table
+from lendmill.sinks import refresh_table
+from lendmill.sources import read_csv_dir, read_parquet_table, table_path
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,8 @@ def run_loan_batch(
     aggregated_files: int | None = None,
     schemes: Collection[str] | None = None,
 ) -> LoanBatchResult:
-    """Full refresh of ``output_path``/clean and ``output_path``/aggregated.
+    """Full refresh of ``output_path``/clean and ``output_path``/aggregated, each as a new
+    version that takes effect when it is complete; the result names their directories.
 
     The CSV is read once: counts and global figures are observed while the clean
     rows are written. The metrics are then grouped from the written Parquet, of
@@ -56,17 +57,17 @@ def run_loan_batch(
         loaded, F.count(F.lit(1)).alias("rows")
     )
     clean = enrich_applications(applications, report_date)
-    stats = write_parquet(
+    stats = refresh_table(
         clean, clean_path, clean_files, shuffle=False, metrics=figures(STAT_MEANS)
     )
 
     written = read_parquet_table(spark, clean_path, clean.schema)
-    write_parquet(application_metrics(written, keys), aggregated_path, aggregated_files)
+    refresh_table(application_metrics(written, keys), aggregated_path, aggregated_files)
     return LoanBatchResult(
         loaded=loaded.get["rows"],
         total=stats["total"],
         approved=stats["approved"],
         avg_score=stats["avg_score"],
-        clean_path=clean_path,
-        aggregated_path=aggregated_path,
+        clean_path=table_path(spark, clean_path),
+        aggregated_path=table_path(spark, aggregated_path),
     )

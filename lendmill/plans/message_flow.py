@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lendmill.operators import flatten_messages, stored_head, synth_messages
 from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import FLAT
-from lendmill.sinks import export_csv, write_messages, write_parquet
-from lendmill.sources import MessageDir, MessageSource, read_messages, read_parquet_table
+from lendmill.sinks import export_csv, refresh_table, write_messages
+from lendmill.sources import MessageDir, MessageSource, read_messages, read_parquet_table, table_path
 from lendmill.streaming import read_message_stream, stream_result, write_stream
 
 EXTRACT_ROWS = 1000
@@ -48,11 +48,11 @@ def run_flatten_batch(
     if extract_path is not None:
         extract_path = check_path("extract_path", extract_path)
     check_apart(spark, source=_place(source), flat_path=flat_path, extract_path=extract_path)
-    written = write_parquet(flatten_messages(read_messages(spark, source)), flat_path)
+    written = refresh_table(flatten_messages(read_messages(spark, source)), flat_path)
     if extract_path is not None:
         flat = read_parquet_table(spark, flat_path, FLAT)
         export_csv(stored_head(flat, extract_rows, FLAT.names), extract_path)
-    return FlattenResult(written["rows"], flat_path, extract_path)
+    return FlattenResult(written["rows"], table_path(spark, flat_path), extract_path)
 
 
 def run_flatten_stream(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendmill.operators.rows import ordered_head
 from lendmill.sources.files import CSV_DIALECT
+from lendmill.versions import Versions
 
 # Blanks and microseconds survive, unlike with Spark's CSV writing defaults.
 CSV_WRITE = CSV_DIALECT | {
@@ -43,24 +44,27 @@ def write_parquet(
     return seen.get
 
 
-def write_keyed_table(
+def refresh_table(
     df: DataFrame,
-    name: str,
-    path: str,
-    keys: Sequence[str],
-    buckets: int,
+    root: str,
+    files: int | None = None,
     *,
-    in_place: bool = False,
-) -> None:
-    """Overwrite a Parquet table of the catalog, bucketed and sorted by its key.
+    shuffle: bool = True,
+    metrics: Sequence[Column] = (),
+) -> dict[str, object]:
+    """The same as a new version of the table at ``root``: until all rows lie there, and if the
+    run fails, readers get the version before, whole.
 
-    Rows are shuffled so that one task writes each bucket. ``in_place`` skips that
-    for rows that lie in these buckets already, such as the result of an upsert.
+    ``read_parquet_table`` finds the last version; other readers take its directory
+    from ``table_path``.
     """
-    if not in_place:
-        df = df.repartition(buckets, *keys)
-    writer = df.write.mode("overwrite").option("path", path)
-    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    versions = Versions(df.sparkSession, root)
+    last = versions.current()
+    number = last.number + 1 if last else 1
+    directory = versions.fresh(number)
+    written = write_parquet(df, f"{versions.root}/{directory}", files, shuffle=shuffle, metrics=metrics)
+    versions.commit(number, {"parts": [directory]})
+    return written
 
 
 def export_csv(

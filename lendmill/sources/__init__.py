@@ -1,4 +1,4 @@
-from lendmill.sources.files import read_csv_dir, read_parquet_table, register_table
+from lendmill.sources.files import read_csv_dir, read_parquet_table, register_table, table_path
 from lendmill.sources.messages import MessageDir, MessageSource, Topic, read_messages
 
 __all__ = [
@@ -9,4 +9,5 @@ __all__ = [
     "read_messages",
     "read_parquet_table",
     "register_table",
+    "table_path",
 ]

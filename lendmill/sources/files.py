@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lendmill.versions import Versions
+
 # Quotes are doubled inside quoted fields (RFC 4180), on both sides.
 CSV_DIALECT = {"header": "true", "escape": '"'}
 
@@ -33,12 +35,21 @@ def read_csv_dir(
     return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
+def table_path(spark: SparkSession, root: str) -> str:
+    """Where the last version of a refreshed table lies; ``root`` itself for a plain one."""
+    version = Versions(spark, root).current()
+    return root if version is None else f"{root.rstrip('/')}/{version.parts[0]}"
+
+
 def read_parquet_table(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame:
-    """A Parquet table. With a schema, an empty or missing footer set is no error."""
+    """A Parquet table, of a refreshed one the last version.
+
+    With a schema, an empty or missing footer set is no error.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(table_path(spark, path))
 
 
 def register_table(df: DataFrame, name: str) -> DataFrame:

@@ -46,11 +46,16 @@ def test_calls(run, spark, tmp_path):
     rows = [(f"c{i}", "t", "client", "DE-HE", "loan_offer", "busy", "declined", i, "true") for i in range(3)]
     snapshot_table(spark.createDataFrame(rows, CALLS), str(tmp_path / "day1"))
     snapshot_table(spark.createDataFrame([("c9", *rows[0][1:])], CALLS), str(tmp_path / "day2"))
-    assert last(run("call-upsert", tmp_path / "day1", tmp_path / "v1")) == {"rows": 3}
-    out = run("call-upsert", tmp_path / "day2", tmp_path / "v2", "--current", tmp_path / "v1")
+    assert last(run("call-upsert", tmp_path / "day1", tmp_path / "calls", "--buckets", 4)) == {"rows": 3}
+    assert last(run("call-upsert", tmp_path / "day2", tmp_path / "calls")) == {"rows": 4}
+    repeated = [("c1", *rows[0][1:7], n, "true") for n in (7, 8)]
+    snapshot_table(spark.createDataFrame(repeated, CALLS), str(tmp_path / "day3"))
+    with pytest.raises(Exception, match="key repeated"):
+        run("call-upsert", tmp_path / "day3", tmp_path / "calls")
+    out = run("call-upsert", tmp_path / "day3", tmp_path / "calls", "--order-by", "duration_sec")
     assert last(out) == {"rows": 4}
-    assert "|total_rows|" in run("call-report", tmp_path / "v2")
-    run("call-snapshot", tmp_path / "v2", tmp_path / "csv")
+    assert "|total_rows|" in run("call-report", tmp_path / "calls")
+    run("call-snapshot", tmp_path / "calls", tmp_path / "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 4
 
 

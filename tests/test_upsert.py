@@ -3,9 +3,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from lendmill.operators import upsert_by_key
-from lendmill.plans import call_report, run_call_snapshot, run_call_upsert, run_keyed_upsert
+from lendmill.plans import call_report, run_call_snapshot, run_call_upsert
 from lendmill.schemas import CALLS
-from lendmill.sinks import write_keyed_table
+from lendmill.sinks import read_keyed_table
 from lendmill.sources import read_csv_dir
 
 KEYS = st.none() | st.integers(0, 12)
@@ -94,73 +94,20 @@ def call(key, region, seconds=60):
 
 
 def test_call_table_jobs(spark, tmp_path):
-    first, second, csv = (str(tmp_path / n) for n in ("v1", "v2", "csv"))
+    table, csv = (str(tmp_path / n) for n in ("calls", "csv"))
     load = spark.createDataFrame([call("c1", "DE-HE"), call("c2", "DE-BY"), call("c3", "DE-BY")], CALLS)
     change = spark.createDataFrame([call("c1", "FR-IDF", 90), call("c4", "DE-HE")], CALLS)
-    assert run_call_upsert(spark, None, load, first) == 3
-    assert run_call_upsert(spark, first, change, second) == 4
-    report = call_report(spark.read.parquet(second))
+    assert run_call_upsert(spark, table, load, buckets=4) == 3
+    assert run_call_upsert(spark, table, change) == 4
+    calls = read_keyed_table(spark, table)
+    report = call_report(calls)
     assert report["total_rows"].collect() == [(4,)]
     assert [r["call_id"] for r in report["preview"].collect()] == ["c1", "c2", "c3", "c4"]
     assert [tuple(r) for r in report["calls_by_region"].collect()] == [
         ("DE-BY", 2), ("DE-HE", 1), ("FR-IDF", 1),
     ]
-    run_call_snapshot(spark, second, csv)
-    assert rows(read_csv_dir(spark, csv, CALLS)) == rows(spark.read.parquet(second))
-
-
-def test_upsert_over_its_own_input_raises(spark, tmp_path):
-    with pytest.raises(ValueError, match="same path"):
-        run_call_upsert(spark, str(tmp_path), spark.createDataFrame([], CALLS), f"{tmp_path}/")
-
-
-@pytest.fixture
-def keyed(spark, tmp_path):
-    names = []
-
-    def save(df, name):
-        write_keyed_table(df, name, str(tmp_path / name), ["k"], 4)
-        names.append(name)
-        return spark.table(name)
-
-    yield save
-    for name in names:
-        spark.sql(f"DROP TABLE {name}")
-
-
-def bucket_files(folder):
-    return len([f for f in folder.iterdir() if f.suffix == ".parquet"])
-
-
-def test_bucketed_target_is_not_shuffled(spark, keyed, tmp_path):
-    target = keyed(spark.range(1000).selectExpr("id AS k", "'old' AS v"), "held")
-    batch = spark.range(500, 1500).selectExpr("id AS k", "'new' AS v")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        merged = upsert_by_key(target, batch, ["k"], buckets=4)
-        assert bucket_files(tmp_path / "held") == 4
-        text = merged._jdf.queryExecution().executedPlan().toString()
-        before, after = text.split("Scan parquet")[0], text.split("Scan parquet")[1]
-        assert "SortMergeJoin" in before and "Exchange" not in before and "Exchange" in after
-        run_keyed_upsert(spark, "held", batch, "merged", str(tmp_path / "merged"), keys=["k"], buckets=4)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert bucket_files(tmp_path / "merged") <= 8
-    want = sorted([(i, "old") for i in range(500)] + [(i, "new") for i in range(500, 1500)], key=str)
-    assert rows(merged) == rows(spark.table("merged")) == want
-    spark.sql("DROP TABLE merged")
-
-
-def test_null_key_raises_where_excluded(spark):
-    target = spark.createDataFrame([(1, "a")], "k int, v string")
-    batch = spark.createDataFrame([(None, "x")], "k int, v string")
-    with pytest.raises(Exception, match="null in key column k"):
-        upsert_by_key(target, batch, ["k"], buckets=4).collect()
-
-
-def test_keyed_upsert_onto_itself_raises(spark, tmp_path):
-    with pytest.raises(ValueError, match="same"):
-        run_keyed_upsert(spark, "t", spark.range(1), "t", str(tmp_path), keys=["id"], buckets=2)
+    run_call_snapshot(spark, table, csv)
+    assert rows(read_csv_dir(spark, csv, CALLS)) == rows(calls)
 
 
 def test_names_of_own_columns_and_maps(spark):
