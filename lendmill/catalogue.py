@@ -402,8 +402,32 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @checked("SELECT * FROM documents")
 def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, path = load(spark, sf_dir, "documents"), scratch_path(spark, "documents_csv")
-    snapshot_table(documents, path)
-    return read_csv_dir(spark, path, documents.schema, multi_line=True)
+    snapshot_table(documents, path, lossless=True)
+    return read_csv_dir(spark, path, documents.schema, lossless=True)
+
+
+@checked(
+    """SELECT o_orderkey AS order_id,
+      CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS customer,
+      CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS priority,
+      CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '5-LOW'
+        THEN o_orderkey || ',' || CASE o_orderstatus WHEN 'P' THEN o_custkey || ' ' || o_custkey ELSE o_custkey::VARCHAR END
+          || CASE o_orderpriority WHEN '5-LOW' THEN '' ELSE ',' || o_orderpriority END END AS line
+    FROM orders"""
+)
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending orders get two numbers in one field, low ones lack their last field."""
+    orders, path = load(spark, sf_dir, "orders"), scratch_path(spark, "orders_csv")
+    customer = F.when(F.col("o_orderstatus") == "P", F.concat_ws(" ", "o_custkey", "o_custkey"))
+    low = F.col("o_orderpriority") == "5-LOW"
+    line = F.concat_ws(
+        ",", "o_orderkey", customer.otherwise(F.col("o_custkey").cast("string")), F.when(~low, F.col("o_orderpriority"))
+    )
+    orders.select(line.alias("order_id,customer,priority")).write.option("header", True).option(
+        "quote", "\u0000"
+    ).option("sep", "\u0001").csv(path)
+    schema = table(order_id=LongType(), customer=LongType(), priority=StringType())
+    return read_csv_dir(spark, path, schema, rejected="line")
 
 
 @checked(

@@ -53,7 +53,10 @@ def loan_batch(spark: SparkSession, args: argparse.Namespace) -> object:
         clean_files=args.clean_files,
         aggregated_files=args.aggregated_files,
         schemes=args.schemes.split(",") if args.schemes else None,
+        most_malformed=args.most_malformed,
     )
+    if args.preview:
+        show(read_parquet_table(spark, result.clean_path))
     return dataclasses.asdict(result)
 
 
@@ -85,7 +88,7 @@ def dashboard(spark: SparkSession, args: argparse.Namespace) -> object:
 
 
 def call_upsert(spark: SparkSession, args: argparse.Namespace) -> object:
-    batch = read_csv_dir(spark, args.batch, CALLS)
+    batch = read_csv_dir(spark, args.batch, CALLS, lossless=args.lossless, multi_line=args.multi_line)
     order = args.order_by.split(",") if args.order_by else ()
     return {"rows": run_call_upsert(spark, args.table, batch, order, args.buckets)}
 
@@ -97,7 +100,7 @@ def call_queries(spark: SparkSession, args: argparse.Namespace) -> object:
 
 
 def call_snapshot(spark: SparkSession, args: argparse.Namespace) -> object:
-    run_call_snapshot(spark, args.table, args.csv)
+    run_call_snapshot(spark, args.table, args.csv, lossless=args.lossless)
     return {"csv": args.csv}
 
 
@@ -117,6 +120,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--clean-files", type=int)
     sub.add_argument("--aggregated-files", type=int)
     sub.add_argument("--schemes", help="allowed path schemes, e.g. s3a")
+    sub.add_argument("--most-malformed", type=int, help="fail beyond so many lines that do not parse")
+    sub.add_argument("--preview", action="store_true")
 
     sub = job("publish", publish, "sink", help=run_publish.__doc__)
     sub.add_argument("--rows", type=int, required=True)
@@ -141,8 +146,11 @@ def parser() -> argparse.ArgumentParser:
     sub = job("call-upsert", call_upsert, "batch", "table", help=run_call_upsert.__doc__)
     sub.add_argument("--order-by", help="columns by which the last row of a repeated key wins")
     sub.add_argument("--buckets", type=int, default=CALL_BUCKETS)
+    sub.add_argument("--lossless", action="store_true", help="the batch is a lossless snapshot")
+    sub.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
     job("call-report", call_queries, "table", help=call_report.__doc__)
-    job("call-snapshot", call_snapshot, "table", "csv", help=run_call_snapshot.__doc__)
+    sub = job("call-snapshot", call_snapshot, "table", "csv", help=run_call_snapshot.__doc__)
+    sub.add_argument("--lossless", action="store_true", help="escape line breaks, keep null apart")
     return top
 
 

@@ -65,9 +65,11 @@ def call_report(calls: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_call_snapshot(spark: SparkSession, table_path: str, csv_path: str) -> None:
+def run_call_snapshot(
+    spark: SparkSession, table_path: str, csv_path: str, *, lossless: bool = False
+) -> None:
     """The whole call table as CSV."""
     table_path = check_path("table_path", table_path)
     csv_path = check_path("csv_path", csv_path)
     check_apart(spark, table_path=table_path, csv_path=csv_path)
-    snapshot_table(read_keyed_table(spark, table_path), csv_path)
+    snapshot_table(read_keyed_table(spark, table_path), csv_path, lossless=lossless)

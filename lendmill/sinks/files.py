@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lendmill.operators.rows import ordered_head
-from lendmill.sources.files import CSV_DIALECT
+from lendmill.sources.files import CSV_DIALECT, LOSSLESS_NULL, escaped
 from lendmill.versions import Versions
 
 # Blanks and microseconds survive, unlike with Spark's CSV writing defaults.
@@ -51,10 +52,12 @@ def refresh_table(
     *,
     shuffle: bool = True,
     metrics: Sequence[Column] = (),
+    check: Callable[[], None] | None = None,
 ) -> dict[str, object]:
     """The same as a new version of the table at ``root``: until all rows lie there, and if the
     run fails, readers get the version before, whole.
 
+    ``check`` is called before the new version takes effect and may raise.
     ``read_parquet_table`` finds the last version; other readers take its directory
     from ``table_path``.
     """
@@ -63,6 +66,8 @@ def refresh_table(
     number = last.number + 1 if last else 1
     directory = versions.fresh(number)
     written = write_parquet(df, f"{versions.root}/{directory}", files, shuffle=shuffle, metrics=metrics)
+    if check is not None:
+        check()
     versions.commit(number, {"parts": [directory]})
     return written
 
@@ -73,19 +78,27 @@ def export_csv(
     limit: int | None = None,
     order_by: Sequence[str] | None = None,
     null_value: str = "",
+    *,
+    lossless: bool = False,
 ) -> None:
     """Overwrite a CSV directory with header; ``limit`` keeps the first rows by ``order_by``.
 
-    A ``null_value`` that occurs in no text, given to the reader as well, keeps
-    null and empty text apart.
+    ``lossless`` writes every row on one line, for a reader with the same flag: line
+    breaks and backslashes in texts are escaped by a backslash, and null is ``\\N``. Without it, a
+    ``null_value`` that occurs in no text, given to the reader as well, keeps null and
+    empty text apart.
     """
     if limit is not None:
         df = ordered_head(df, limit, order_by or df.columns)
     elif order_by:
         df = df.orderBy(*order_by)
+    if lossless:
+        texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+        df = df.withColumns({name: escaped(F.col(f"`{name}`")) for name in texts})
+        null_value = LOSSLESS_NULL
     df.write.mode("overwrite").options(**CSV_WRITE, nullValue=null_value).csv(path)
 
 
-def snapshot_table(df: DataFrame, path: str, null_value: str = "") -> None:
+def snapshot_table(df: DataFrame, path: str, null_value: str = "", *, lossless: bool = False) -> None:
     """The whole table as CSV, written in parallel."""
-    export_csv(df, path, null_value=null_value)
+    export_csv(df, path, null_value=null_value, lossless=lossless)

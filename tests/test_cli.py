@@ -36,7 +36,9 @@ def test_messages_to_dashboard(run, spark, tmp_path):
 def test_loan_batch(run, spark, tmp_path):
     rows = [("a", None, "c", "R", "p", 10.0, 1, 700, "low", "Approved", 1.0, "web", True, 1)]
     snapshot_table(spark.createDataFrame(rows, APPLICATIONS), str(tmp_path / "in"))
-    out = last(run("loan-batch", tmp_path / "in", tmp_path / "out", "2026-06-16", "--keys", "region_code"))
+    printed = run("loan-batch", tmp_path / "in", tmp_path / "out", "2026-06-16", "--keys", "region_code", "--preview")
+    out = last(printed)
+    assert "|-- is_approved: boolean" in printed and out["malformed"] == 0
     assert (out["loaded"], out["total"], out["approved"], out["avg_score"]) == (1, 1, 1, 700.0)
     with pytest.raises(ValueError, match="s3a"):
         run("loan-batch", tmp_path / "in", tmp_path / "out", "2026-06-16", "--schemes", "s3a")

@@ -1,4 +1,5 @@
 import math
+from pathlib import Path
 
 import pytest
 
@@ -95,7 +96,7 @@ def test_job_is_a_full_refresh(spark, csv_dir, tmp_path):
     clean = spark.read.parquet(run.clean_path)
     assert clean.count() == 5
     assert {r["report_date"] for r in clean.collect()} == {"2026-06-17"}
-    files = [f for f in (tmp_path / "out" / "aggregated").iterdir() if f.suffix == ".parquet"]
+    files = [f for f in Path(run.aggregated_path).iterdir() if f.suffix == ".parquet"]
     assert len(files) == 1
 
 
