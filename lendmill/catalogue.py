@@ -626,6 +626,42 @@ def flatten_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_messages(bodies, {"k": "k"}, table(k=FLAT["score"].dataType), corrupt_column="raw")
 
 
+ODD_BODY_SQL = """
+SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(floor(o_totalprice) AS INT) AS amount,
+  '{{"application_id":"loan_' || o_orderkey || '","loan":{{"amount":'
+  || CASE WHEN o_orderpriority = '2-HIGH' THEN '"many"' ELSE CAST(CAST(floor(o_totalprice) AS INT) AS STRING) END
+  || ',"term_months":12}},"documents":['
+  || CASE o_orderstatus WHEN 'F' THEN '{{"type":"passport","status":{{"code":7}}}}'
+     WHEN 'O' THEN '{{"type":"passport","status":"verified"}},{{"type":"income","note":"x"}}' ELSE '' END
+  || ']' || CASE WHEN o_orderpriority = '5-LOW' THEN ',"channel":"web"}}'
+     WHEN o_orderpriority = '1-URGENT' THEN '' ELSE '}}' END AS value
+FROM {orders}
+"""
+
+
+@checked(
+    f"""WITH odd AS ({ODD_BODY_SQL.format(orders='orders')}),
+    docs(status, doc_type, doc_status, rest) AS (VALUES
+      ('F', 'passport', NULL, 'documents[].status={{"code":7}}'), ('O', 'passport', 'verified', NULL),
+      ('O', 'income', NULL, 'documents[].note="x"')),
+    kept AS (SELECT * FROM odd LEFT JOIN docs ON status = o_orderstatus AND o_orderpriority != '1-URGENT')
+    SELECT CASE WHEN o_orderpriority != '1-URGENT' THEN 'loan_' || o_orderkey END AS application_id,
+      CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN amount END AS loan_amount,
+      CASE WHEN o_orderpriority != '1-URGENT' THEN 12 END AS term_months, doc_type, doc_status,
+      CASE WHEN o_orderpriority = '1-URGENT' THEN '$=' || value ELSE nullif(concat_ws(';',
+        CASE WHEN o_orderpriority = '5-LOW' THEN 'channel="web"' END, rest,
+        CASE WHEN o_orderpriority = '2-HIGH' THEN 'loan.amount="many"' END), '') END AS rescued
+    FROM kept"""
+)
+def flatten_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies with values of a wrong type, fields without a column, and some cut off."""
+    bodies = spark.sql(ODD_BODY_SQL, orders=load(spark, sf_dir, "orders")).select("value")
+    columns = ["application_id", "loan_amount", "term_months", "doc_type", "doc_status"]
+    flat = flatten_messages(bodies, columns=columns, rescued_column="rescued")
+    entries = F.transform(F.map_entries("rescued"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return flat.withColumn("rescued", F.array_join(F.array_sort(entries), ";"))
+
+
 TEXT_LAYOUT = {
     "id": "doc_id",
     "origin": {"lang": "lang", "source": "source"},

@@ -6,12 +6,20 @@ here shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DecimalType,
+    FractionalType,
+    IntegralType,
+    StringType,
+    StructType,
+)
 
 from lendmill.functions import pick
 from lendmill.functions.layout import (
@@ -52,6 +60,7 @@ def flatten_messages(
     *,
     columns: Sequence[str] | None = None,
     corrupt_column: str | None = None,
+    rescued_column: str | None = None,
 ) -> DataFrame:
     """Parse the column ``value`` and give one row per array element.
 
@@ -61,13 +70,24 @@ def flatten_messages(
     siblings are kept; ``corrupt_column`` adds the raw text of such bodies, to
     split them off.
 
+    ``rescued_column`` adds a map from places such as ``loan.amount`` or ``documents[].type`` to
+    the JSON of every value of the message, or of its element, that has no column or does not
+    fit into its column; null if all fit. A body that is no JSON is rescued whole under
+    ``$``, and so is one that is no object. A name with a dot stands in backticks. A number fits a column of its kind if it
+    is in its range, any single value fits text, and JSON null fits everywhere.
+
     ``columns`` limits the result, and what the JSON parser materialises, to some
-    flat columns; the number of rows stays the same.
+    flat columns; the number of rows stays the same. The rescued values are those of the
+    whole layout.
     """
+    known = [leaf.column for leaf in layout_leaves(layout)]
+    if columns is not None and (unknown := [c for c in columns if c not in known]):
+        raise ValueError(f"columns {unknown} are not in the layout")
+    if rescued_column is not None:
+        if corrupt_column is not None:
+            raise ValueError("what does not parse is among the rescued values already")
+        return _flatten_rescuing(messages, layout, types, columns or known, rescued_column)
     if columns is not None:
-        known = {leaf.column for leaf in layout_leaves(layout)}
-        if unknown := [c for c in columns if c not in known]:
-            raise ValueError(f"columns {unknown} are not in the layout")
         layout = narrow_layout(layout, set(columns))
     schema, options = layout_schema(layout, types), {}
     if corrupt_column is not None:
@@ -76,11 +96,11 @@ def flatten_messages(
 
     body = F.col("value").cast("string")
     rows = messages.where(F.col("value").isNotNull()).select(
-        F.from_json(body, schema, options).alias("message")
+        F.from_json(body, schema, options).alias("message"), body.alias("body")
     )
     if array := array_path(layout):
         elements = _field("message", array)
-        rows = rows.select("message", F.explode_outer(elements).alias("element"))
+        rows = rows.select("message", "body", F.explode_outer(elements).alias("element"))
 
     fields = {
         leaf.column: _field("element" if leaf.in_array else "message", leaf.path)
@@ -88,10 +108,113 @@ def flatten_messages(
     }
     picked = [fields[c].alias(c) for c in (columns or fields)]
     if corrupt_column is not None:
-        picked.append(_field("message", [corrupt_column]).alias(corrupt_column))
+        # The parser gives nothing at all for a blank body, not even its text.
+        raw = F.when(F.col("message").isNull(), F.col("body"))
+        picked.append(F.coalesce(_field("message", [corrupt_column]), raw).alias(corrupt_column))
     return rows.select(*picked)
 
 
+# Kinds of JSON numbers, as Spark names those of a variant.
+WHOLE, ANY_NUMBER = "^(BIGINT)$", "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
+NESTED = "^(OBJECT|ARRAY|VARIANT)"
+
+
+def _flatten_rescuing(
+    messages: DataFrame, layout: Layout, types: StructType, columns: Sequence[str], rescued: str
+) -> DataFrame:
+    """The body is parsed once, to a variant, from which typed values and the rest are taken."""
+    body = F.col("value").cast("string")
+    rows = messages.where(F.col("value").isNotNull()).select(
+        F.try_parse_json(body).alias("message"), body.alias("body")
+    )
+    leaves, array = layout_leaves(layout), array_path(layout)
+    is_object = F.schema_of_variant("message").startswith("OBJECT")
+    rest = [
+        F.when(
+            F.coalesce(is_object, F.lit(False)), F.lit(None).cast("map<string,string>")
+        ).otherwise(F.create_map(F.lit("$"), F.col("body")))
+    ]
+    rest += _strangers("message", layout, ())
+    if array:
+        found = F.try_variant_get("message", _json_path(array), "variant")
+        elements = F.try_variant_get("message", _json_path(array), "array<variant>")
+        rest.append(_misfit(".".join(array), found, elements.isNull() & _present(found)))
+        rows = rows.withColumn("element", F.explode_outer(elements))
+        place = ".".join(array) + "[]"
+        node = layout
+        for name in array:
+            node = node[name]
+        rest += _strangers("element", node[0], (), place + ".")
+        whole = F.col("element")
+        odd = _present(whole) & ~F.schema_of_variant(whole).startswith("OBJECT")
+        rest.append(_misfit(place, whole, odd))
+    picked = {}
+    for leaf in leaves:
+        root = "element" if leaf.in_array else "message"
+        value = F.try_variant_get(root, _json_path(leaf.path), "variant")
+        place = (".".join(array) + "[]." if leaf.in_array else "") + ".".join(leaf.path)
+        kind = types[leaf.column].dataType
+        fits = _fits(value, kind)
+        typed = F.try_variant_get(root, _json_path(leaf.path), kind.simpleString())
+        picked[leaf.column] = F.when(fits, typed).alias(leaf.column)
+        rest.append(_misfit(place, value, _present(value) & (~fits | typed.isNull())))
+    parts = F.filter(F.array(*rest), lambda part: part.isNotNull())
+    entries = F.flatten(F.transform(parts, F.map_entries))
+    kept = F.when(F.size(entries) > 0, F.map_from_entries(entries))
+    return rows.select(*[picked[c] for c in columns], kept.alias(rescued))
+
+
+def _json_path(path: Sequence[str]) -> str:
+    return "$" + "".join(f"['{name}']" for name in path)
+
+
+def _present(value: Column) -> Column:
+    """Neither missing nor JSON null."""
+    return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
+
+
+def _fits(value: Column, kind: DataType) -> Column:
+    """If a JSON value is of the kind of a column; the range is left to the cast."""
+    found = F.schema_of_variant(value)
+    if isinstance(kind, StringType):
+        return ~found.rlike(NESTED)
+    if isinstance(kind, BooleanType):
+        return found == "BOOLEAN"
+    if isinstance(kind, IntegralType):
+        return found.rlike(WHOLE)
+    if isinstance(kind, (FractionalType, DecimalType)):
+        return found.rlike(ANY_NUMBER)
+    return found == "STRING"
+
+
+def _misfit(place: str, value: Column, test: Column) -> Column:
+    return F.when(test, F.create_map(F.lit(place), F.to_json(value)))
+
+
+def _quoted(name: Column) -> Column:
+    """A name that could be taken for a place is set in backticks."""
+    marked = F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`"))
+    return F.when(name.rlike(r"[.$`\[]"), marked).otherwise(name)
+
+
+def _strangers(root: str, layout: Layout, path: tuple[str, ...], prefix: str = "") -> list[Column]:
+    """The fields of an object that the layout does not name, and those of its inner objects;
+    also what stands in place of an inner object."""
+    fields = F.try_variant_get(root, _json_path(path), "map<string,variant>")
+    names = F.array(*[F.lit(name) for name in layout])
+    strange = F.map_filter(fields, lambda name, _: ~F.array_contains(names, name))
+    before = prefix + "".join(f"{name}." for name in path)
+    texts = F.transform_values(strange, lambda _, value: F.coalesce(F.to_json(value), F.lit("null")))
+    found = [F.transform_keys(texts, lambda name, _: F.concat(F.lit(before), _quoted(name)))]
+    for name, node in layout.items():
+        if isinstance(node, Mapping):
+            inner = F.try_variant_get(root, _json_path((*path, name)), "variant")
+            odd = _present(inner) & ~F.schema_of_variant(inner).startswith("OBJECT")
+            found.append(_misfit(before + name, inner, odd))
+            found += _strangers(root, node, (*path, name), prefix)
+    return found
+
+
 def _field(root: str, path: Sequence[str]) -> Column:
     return reduce(lambda column, name: column[name], path, F.col(root))
 
