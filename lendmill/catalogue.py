@@ -36,10 +36,12 @@ from lendmill.plans import (
     LoanBatchResult,
     call_report,
     dashboard_charts,
+    read_increments,
     run_call_snapshot,
     run_call_upsert,
     run_dashboard,
     run_flatten_batch,
+    run_flatten_incremental,
     run_flatten_stream,
     run_loan_batch,
     run_publish,
@@ -715,6 +717,28 @@ def flatten_stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_flatten_stream(spark, source, path, checkpoint)
 
 
+@checked(f"{FLATTENED} SELECT * FROM flat")
+def flatten_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batch runs over one growing source, the second cut off and made again."""
+    bodies = order_messages(spark, sf_dir)
+    source, path = MessageDir(scratch_path(spark, "messages")), scratch_path(spark, "flat")
+
+    def cut_off(messages: DataFrame) -> DataFrame:
+        flat = flatten_messages(messages)
+        lost = F.raise_error(F.lit("run cut off")).cast("string")
+        return flat.withColumn("region", F.when(F.col("doc_type").isNotNull(), lost).otherwise(F.col("region")))
+
+    for part in ('"documents":[]', '"decision_status":"F"', '"decision_status":"O"'):
+        write_messages(bodies.where(F.col("value").contains(part)), source)
+        try:
+            run_flatten_incremental(spark, source, path, cut_off)
+        except Exception as error:
+            if "run cut off" not in str(error):
+                raise
+            run_flatten_incremental(spark, source, path)
+    return read_increments(spark, path)
+
+
 # --- jobs -------------------------------------------------------------------
 
 

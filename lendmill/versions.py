@@ -59,6 +59,13 @@ class Versions:
         found = (status.getPath().getName() for status in self._files.listStatus(place))
         return sorted(name for name in found if not name.startswith("."))
 
+    def sizes(self) -> dict[str, int]:
+        """The visible files directly below the root, with their lengths, by name."""
+        place = self._hadoop.Path(self.root)
+        found = {s.getPath().getName(): s for s in self._files.listStatus(place)}
+        shown = (name for name in sorted(found) if not name.startswith("."))
+        return {name: found[name].getLen() for name in shown if found[name].isFile()}
+
     def commits(self) -> list[int]:
         return sorted(int(n.removesuffix(".json")) for n in self.children(COMMITS) if n.endswith(".json"))
 

@@ -18,7 +18,13 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from lendmill.plans import run_flatten_batch, run_flatten_stream, run_publish
+from lendmill.plans import (
+    read_increments,
+    run_flatten_batch,
+    run_flatten_incremental,
+    run_flatten_stream,
+    run_publish,
+)
 from lendmill.schemas import FLAT
 from lendmill.sinks import write_messages
 from lendmill.sources import Topic, read_messages
@@ -31,11 +37,18 @@ def stored(options):
     bodies = []
     for file in sorted(Path(options[SERVERS], options["subscribe"]).glob("*.jsonl")):
         bodies += [json.loads(line) for line in file.read_text().splitlines()]
-    for offset, body in enumerate(bodies):
+    start, end = (range_of(options, name) for name in ("startingOffsets", "endingOffsets"))
+    for offset, body in list(enumerate(bodies))[start if start >= 0 else 0 : end if end >= 0 else None]:
         value = None if body is None else base64.b64decode(body)
         yield None, value, options["subscribe"], 0, offset
 
 
+def range_of(options, name):
+    """The offset of the only partition; below 0 for the beginning and the end."""
+    text = options.get(name.lower(), "earliest")
+    return json.loads(text)[options["subscribe"]]["0"] if text.startswith("{") else -1
+
+
 class StandIn(DataSource):
     @classmethod
     def name(cls):
@@ -45,7 +58,6 @@ class StandIn(DataSource):
         return "key binary, value binary, topic string, partition int, offset long"
 
     def reader(self, schema):
-        assert self.options["startingOffsets"] == "earliest"
         return BatchReader(dict(self.options))
 
     def simpleStreamReader(self, schema):
@@ -129,3 +141,32 @@ def test_stream_goes_on_from_its_checkpoint(spark, topic, tmp_path):
     run_publish(spark, topic, 20)
     assert run() == 70
     assert spark.sql("SELECT count(DISTINCT application_id) FROM from_topic").first()[0] == 50
+
+
+def test_batches_take_each_message_once(spark, topic, tmp_path):
+    path = str(tmp_path / "flat")
+
+    def run():
+        return run_flatten_incremental(spark, topic, path)
+
+    run_publish(spark, topic, 50)
+    assert (run(), run()) == (50, 0)
+    run_publish(spark, topic, 20)
+    with pytest.raises(Exception, match="cut off"):
+        run_flatten_incremental(spark, topic, path, lambda m: m.selectExpr("raise_error('cut off') AS region"))
+    assert read_increments(spark, path).count() == 50
+    assert (run(), run()) == (20, 0)
+    found = read_increments(spark, path)
+    assert found.count() == 70 and found.select("application_id").distinct().count() == 50
+    # A null body adds no row; its offset is taken all the same.
+    write_messages(spark.createDataFrame([(None,)], "value string"), topic)
+    assert (run(), run()) == (0, 0)
+
+
+def test_offsets_name_every_partition():
+    topic = Topic("loans", {}, partitions=3)
+    options = topic.range_options({"0": 5}, None)
+    assert json.loads(options["startingOffsets"]) == {"loans": {"0": 5, "1": -2, "2": -2}}
+    options = topic.range_options({"0": 5, "1": 2}, {"0": 9, "3": 1})
+    assert json.loads(options["startingOffsets"]) == {"loans": {"0": 5, "1": 2, "2": -2, "3": -2}}
+    assert json.loads(options["endingOffsets"]) == {"loans": {"0": 9, "1": 2, "2": -1, "3": 1}}
