@@ -84,7 +84,7 @@ def flatten_stream(spark: SparkSession, args: argparse.Namespace) -> object:
 
 
 def dashboard(spark: SparkSession, args: argparse.Namespace) -> object:
-    return run_dashboard(spark, args.flat, args.output)
+    return run_dashboard(spark, args.flat, args.output, args.score_width)
 
 
 def call_upsert(spark: SparkSession, args: argparse.Namespace) -> object:
@@ -141,7 +141,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--options-file")
     sub.add_argument("--preview", action="store_true")
 
-    job("dashboard", dashboard, "flat", "output", help=run_dashboard.__doc__)
+    sub = job("dashboard", dashboard, "flat", "output", help=run_dashboard.__doc__)
+    sub.add_argument("--score-width", type=int, default=1)
 
     sub = job("call-upsert", call_upsert, "batch", "table", help=run_call_upsert.__doc__)
     sub.add_argument("--order-by", help="columns by which the last row of a repeated key wins")

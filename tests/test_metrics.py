@@ -68,3 +68,18 @@ def test_charts_count_documents_and_skip_missing_amounts(spark):
 def test_dashboard_over_its_input_raises(spark, tmp_path):
     with pytest.raises(ValueError, match="same path"):
         run_dashboard(spark, str(tmp_path), str(tmp_path))
+
+
+def test_chart_base_is_one_expand_and_one_shuffle(spark):
+    rows = [("a", "c", None, 10, 6, s, None, "p", "v", "approved", "t") for s in (-1, 0, 9, 10, None)]
+    base = chart_base(spark.createDataFrame(rows, FLAT), score_width=10)
+    plan = base._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Expand") == 1
+    physical = base._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange") == 1
+    charts = dashboard_charts(base)
+    assert {r.bin: r.cnt for r in charts["score_histogram"].collect()} == {-10: 1, 0: 2, 10: 1, None: 1}
+    # Null keys are groups of their own, apart from the other sets.
+    assert charts["risk_share"].collect() == [(None, 5, 100.0)]
+    assert charts["region_mean"].collect() == [(None, 10.0)]
+    assert charts["decision_count"].collect() == [("approved", 5)]
