@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
@@ -44,11 +45,13 @@ LATER_NUMBERS = (
     "\U00010d40-\U00010d49\U000116d0-\U000116e3\U00011bf0-\U00011bf9\U00016130-\U00016139"
     "\U00016d70-\U00016d79\U0001ccf0-\U0001ccf9\U0001e5f1-\U0001e5fa"
 )
-MOST_KNOWN = 200_000
+MOST_KNOWN = 400_000
 #: A longer piece is encoded, but not kept.
 LONGEST_KNOWN = 64
-#: Stands in the list for a symbol that became part of the one before it.
+#: Stands in the list for a symbol that became part of the one before it; no pair has it.
 GONE = -1
+PLACE_BITS = 32
+LAST_PLACE = (1 << PLACE_BITS) - 1
 BATCH_BYTES = 2 << 20
 BATCH_IDS = 1 << 20
 
@@ -123,13 +126,14 @@ class Coder:
         for token, number in [*vocabulary.items(), *self.special.items()]:
             self.strings[number] = b"".join(byte_of.get(c, c.encode()) for c in token)
         self.first = [vocabulary.get(letter) for letter in letters]
-        #: Rank and whole by left * size + right.
+        #: Rank by left * size + right, and what each rank's merge gives.
         self.size = len(self.strings)
-        self.merges: dict[int, tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}
+        self.wholes: list[int] = []
         for rank, merge in enumerate(model["merges"]):
             one, other = merge.split(" ") if isinstance(merge, str) else merge
-            pair = vocabulary[one] * self.size + vocabulary[other]
-            self.merges[pair] = rank, vocabulary[one + other]
+            self.ranks[vocabulary[one] * self.size + vocabulary[other]] = rank
+            self.wholes.append(vocabulary[one + other])
         self.pieces = cutter()
         # Of special tokens that start at one place the longest counts.
         names = sorted(self.special, key=len, reverse=True)
@@ -145,47 +149,49 @@ class Coder:
             if i % 2:
                 found.append(np.int32(self.special[part]).tobytes())
             elif part:
-                found.extend(map(self._ids, self.pieces(part)))
+                known = self.known.get
+                found.extend([known(p) or self._ids(p) for p in self.pieces(part)])
         return np.frombuffer(b"".join(found), np.int32)
 
     def _ids(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
+        ids = self.older.get(piece)
         if ids is None:
-            ids = self.older.get(piece)
-            if ids is None:
-                ids = np.array(self.merge(piece.encode("utf-8", "surrogatepass")), np.int32).tobytes()
-            if len(piece) <= LONGEST_KNOWN:
-                self.known[piece] = ids
-                if len(self.known) > MOST_KNOWN:
-                    self.older, self.known = self.known, {}
+            ids = array("i", self.merge(piece.encode())).tobytes()
+        if len(piece) <= LONGEST_KNOWN:
+            self.known[piece] = ids
+            if len(self.known) > MOST_KNOWN:
+                self.older, self.known = self.known, {}
         return ids
 
     def merge(self, piece: bytes) -> list[int]:
         """The symbols of one piece after all merges. Bytes without a symbol are left out."""
         symbols = [s for b in piece if (s := self.first[b]) is not None]
-        end, size, merge_of = len(symbols), self.size, self.merges.get
+        end, size, rank_of, wholes = len(symbols), self.size, self.ranks.get, self.wholes
         before, after = list(range(-1, end - 1)), list(range(1, end + 1))
+        # An entry is rank and left symbol in one number, so equal ranks go from left to right.
         queue = [
-            (*merged, i)
-            for i, pair in enumerate(zip(symbols, symbols[1:]))
-            if (merged := merge_of(pair[0] * size + pair[1]))
+            (rank << PLACE_BITS) + i
+            for i, (one, other) in enumerate(zip(symbols, symbols[1:]))
+            if (rank := rank_of(one * size + other)) is not None
         ]
         heapify(queue)
         while queue:
-            rank, whole, left = heappop(queue)
-            one, right = symbols[left], after[left]
-            # Stale: the symbol is gone, is the last now, or its pair has another merge.
-            if one < 0 or right == end or merge_of(one * size + symbols[right]) != (rank, whole):
+            entry = heappop(queue)
+            rank, left = entry >> PLACE_BITS, entry & LAST_PLACE
+            right = after[left]
+            # Stale: the symbol is the last now, is gone, or its pair has another merge.
+            if right == end or rank_of(symbols[left] * size + symbols[right]) != rank:
                 continue
+            whole = wholes[rank]
             symbols[left], symbols[right] = whole, GONE
             following = after[left] = after[right]
             if following < end:
                 before[following] = left
-                if merged := merge_of(whole * size + symbols[following]):
-                    heappush(queue, (*merged, left))
+                if (rank := rank_of(whole * size + symbols[following])) is not None:
+                    heappush(queue, (rank << PLACE_BITS) + left)
             if (leading := before[left]) >= 0:
-                if merged := merge_of(symbols[leading] * size + whole):
-                    heappush(queue, (*merged, leading))
+                if (rank := rank_of(symbols[leading] * size + whole)) is not None:
+                    heappush(queue, (rank << PLACE_BITS) + leading)
         return [s for s in symbols if s != GONE]
 
     def decode(self, ids: np.ndarray) -> str:
