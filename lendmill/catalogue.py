@@ -22,6 +22,7 @@ from lendmill.operators import (
     flatten_messages,
     histogram,
     mean_by,
+    ordered_range,
     overall_stats,
     pack_messages,
     require_key,
@@ -453,6 +454,21 @@ def csv_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_dir(spark, path, FLAT)
 
 
+@checked(
+    """SELECT * FROM lineitem ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+      l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus
+    LIMIT (SELECT count(*) // 2 FROM lineitem)"""
+)
+def csv_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier half of all line items, sorted by ranges and written as files in order."""
+    lineitem, path = load(spark, sf_dir, "lineitem"), scratch_path(spark, "half_csv")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    order += [name for name in lineitem.columns if name not in order]
+    half = ordered_range(lineitem, lineitem.count() // 2, order)
+    export_csv(half, path)
+    return read_csv_dir(spark, path, lineitem.schema)
+
+
 @checked("SELECT * FROM lineitem")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, path = load(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem")

@@ -8,7 +8,7 @@ from lendmill.operators.metrics import (
     overall_stats,
     share_by,
 )
-from lendmill.operators.rows import ordered_head, require_key, stamp, stored_head
+from lendmill.operators.rows import ordered_head, ordered_range, require_key, stamp, stored_head
 from lendmill.operators.upsert import upsert_by_key
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "histogram",
     "mean_by",
     "ordered_head",
+    "ordered_range",
     "overall_stats",
     "pack_messages",
     "require_key",

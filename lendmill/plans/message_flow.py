@@ -6,10 +6,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.operators import flatten_messages, stored_head, synth_messages
+from lendmill.operators import flatten_messages, ordered_range, stored_head, synth_messages
 from lendmill.plans.paths import check_apart, check_path
 from lendmill.schemas import FLAT
 from lendmill.sinks import export_csv, refresh_table, write_messages
+from lendmill.sinks.files import HEAD_ROWS
 from lendmill.sources import MessageDir, MessageSource, read_messages, read_parquet_table, table_path
 from lendmill.streaming import read_message_stream, stream_result, write_stream
 
@@ -51,7 +52,8 @@ def run_flatten_batch(
     written = refresh_table(flatten_messages(read_messages(spark, source)), flat_path)
     if extract_path is not None:
         flat = read_parquet_table(spark, flat_path, FLAT)
-        export_csv(stored_head(flat, extract_rows, FLAT.names), extract_path)
+        head = ordered_range if extract_rows > HEAD_ROWS else stored_head
+        export_csv(head(flat, extract_rows, FLAT.names), extract_path)
     return FlattenResult(written["rows"], table_path(spark, flat_path), extract_path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lendmill.operators.rows import ordered_head
+from lendmill.operators.rows import ordered_head, ordered_range
 from lendmill.sources.files import CSV_DIALECT, LOSSLESS_NULL, escaped
 from lendmill.versions import Versions
 
@@ -20,6 +20,9 @@ CSV_WRITE = CSV_DIALECT | {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+#: An extract of at most so many rows is one file.
+HEAD_ROWS = 100_000
+
 
 def write_parquet(
     df: DataFrame,
@@ -83,12 +86,17 @@ def export_csv(
 ) -> None:
     """Overwrite a CSV directory with header; ``limit`` keeps the first rows by ``order_by``.
 
+    Up to ``HEAD_ROWS`` rows are merged by one task into one file; more are sorted in
+    parallel, into several files in order.
+
     ``lossless`` writes every row on one line, for a reader with the same flag: line
     breaks and backslashes in texts are escaped by a backslash, and null is ``\\N``. Without it, a
     ``null_value`` that occurs in no text, given to the reader as well, keeps null and
     empty text apart.
     """
-    if limit is not None:
+    if limit is not None and limit > HEAD_ROWS:
+        df = ordered_range(df, limit, order_by or df.columns)
+    elif limit is not None:
         df = ordered_head(df, limit, order_by or df.columns)
     elif order_by:
         df = df.orderBy(*order_by)
