@@ -310,19 +310,16 @@ def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- aggregates -------------------------------------------------------------
 
 
-def rounded_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
-    return application_metrics(df, keys).withColumns(
-        {
-            "avg_requested": F.round("avg_requested", 4),
-            "avg_score": F.round("avg_score", 4),
-        }
-    )
+def mean_sql(value: str) -> str:
+    """The mean from sums of whole numbers, so that both engines give the same bits."""
+    whole, part = f"trunc({value})::HUGEINT", f"trunc(({value} - trunc({value})) * 2^48)::HUGEINT"
+    return f"(sum({whole})::DOUBLE + sum({part})::DOUBLE / 2^48) / nullif(count({value}), 0)"
 
 
-METRICS_SQL = """count(*) AS total,
+METRICS_SQL = f"""count(*) AS total,
   CAST(sum(is_approved::INT) AS BIGINT) AS approved,
-  round(avg(requested_amount), 4) AS avg_requested,
-  round(avg(credit_score), 4) AS avg_score,
+  {mean_sql('requested_amount')} AS avg_requested,
+  {mean_sql('credit_score')} AS avg_score,
   round(sum(is_approved::INT) / count(*) * 100, 2) AS approval_rate"""
 
 
@@ -332,22 +329,21 @@ METRICS_SQL = """count(*) AS total,
 )
 def grouped_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["region_code", "amount_bucket", "decision_status"]
-    return rounded_metrics(clean_applications(spark, sf_dir), keys)
+    return application_metrics(clean_applications(spark, sf_dir), keys)
 
 
 @checked(f"{CLEAN} SELECT region_code, product_type, {METRICS_SQL} FROM clean GROUP BY ALL")
 def approval_by_region_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded_metrics(clean_applications(spark, sf_dir), ["region_code", "product_type"])
+    return application_metrics(clean_applications(spark, sf_dir), ["region_code", "product_type"])
 
 
-STATS_SQL = """SELECT count(*) AS total, CAST(sum(is_approved::INT) AS BIGINT) AS approved,
-  round(avg(credit_score), 4) AS avg_score FROM clean"""
+STATS_SQL = f"""SELECT count(*) AS total, CAST(sum(is_approved::INT) AS BIGINT) AS approved,
+  {mean_sql('credit_score')} AS avg_score FROM clean"""
 
 
 @checked(f"{CLEAN} {STATS_SQL}")
 def global_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = overall_stats(clean_applications(spark, sf_dir))
-    return stats.withColumn("avg_score", F.round("avg_score", 4))
+    return overall_stats(clean_applications(spark, sf_dir))
 
 
 @checked(
@@ -363,10 +359,9 @@ def count_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(load(spark, sf_dir, "events"), "event_type")
 
 
-@checked("SELECT event_type, round(avg(value), 4) AS mean FROM events GROUP BY event_type")
+@checked(f"SELECT event_type, {mean_sql('value')} AS mean FROM events GROUP BY event_type")
 def mean_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = mean_by(load(spark, sf_dir, "events"), "event_type", "value")
-    return means.withColumn("mean", F.round("mean", 4))
+    return mean_by(load(spark, sf_dir, "events"), "event_type", "value")
 
 
 @checked(
@@ -774,10 +769,7 @@ def loan_batch_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"{CLEAN} SELECT region_code, product_type, decision_status, {METRICS_SQL} FROM clean GROUP BY ALL"
 )
 def loan_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metrics = read_parquet_table(spark, loan_batch(spark, sf_dir).aggregated_path)
-    return metrics.withColumns(
-        {c: F.round(c, 4) for c in ("avg_requested", "avg_score")}
-    )
+    return read_parquet_table(spark, loan_batch(spark, sf_dir).aggregated_path)
 
 
 @checked(f"{CLEAN} SELECT *, (SELECT count(*) FROM orders) AS loaded FROM ({STATS_SQL})")
@@ -787,7 +779,7 @@ def loan_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(
         F.lit(run.total).cast("bigint").alias("total"),
         F.lit(run.approved).cast("bigint").alias("approved"),
-        F.round(F.lit(run.avg_score), 4).alias("avg_score"),
+        F.lit(run.avg_score).alias("avg_score"),
         F.lit(run.loaded).cast("bigint").alias("loaded"),
     )
 
@@ -810,11 +802,10 @@ def chart_decision_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @checked(
-    f"{FLATTENED} SELECT region, round(avg(loan_amount), 4) AS mean_amount FROM flat GROUP BY region"
+    f"{FLATTENED} SELECT region, sum(loan_amount) / count(loan_amount) AS mean_amount FROM flat GROUP BY region"
 )
 def chart_region_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = order_charts(spark, sf_dir)["region_mean"]
-    return means.withColumn("mean_amount", F.round("mean_amount", 4))
+    return order_charts(spark, sf_dir)["region_mean"]
 
 
 @checked(f"{FLATTENED} SELECT score AS bin, count(*) AS cnt FROM flat GROUP BY score")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from lendmill.functions import percent
+from lendmill.functions import exact_mean, percent
 
 # Keys and names of the application figures.
 METRIC_KEYS = ("region_code", "product_type", "decision_status")
@@ -45,8 +45,8 @@ def share_by(df: DataFrame, key: str, name: str = "cnt", weight: str | None = No
 
 
 def mean_by(df: DataFrame, key: str, value: str, name: str = "mean") -> DataFrame:
-    """Mean of a value per key; nulls do not count."""
-    return df.groupBy(key).agg(F.avg(value).alias(name))
+    """Mean of a value per key, the same for any order of rows; nulls do not count."""
+    return df.groupBy(key).agg(exact_mean(value).alias(name))
 
 
 def histogram(
@@ -72,13 +72,13 @@ def histogram(
 def figures(means: Mapping[str, str], flag: str = "is_approved") -> list[Column]:
     """Rows, rows with the flag and means, to select, to group or to observe during a write.
 
-    ``means`` maps a result name to the column averaged. Over no rows all but the
-    first are null.
+    ``means`` maps a result name to the column averaged; the order of rows does not matter.
+    Over no rows all but the first are null.
     """
     return [
         F.count(F.lit(1)).alias("total"),
         F.sum(F.col(flag).cast("long")).alias("approved"),
-        *[F.avg(value).alias(name) for name, value in means.items()],
+        *[exact_mean(value).alias(name) for name, value in means.items()],
     ]
 
 
