@@ -584,11 +584,23 @@ def synth_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth_messages(load(spark, sf_dir, "orders"), "o_orderkey")
 
 
-@checked(f"SELECT {SYNTH_SQL} FROM (SELECT row_number() OVER () - 1 AS id FROM lineitem)")
+@checked(
+    f"""SELECT json_merge_patch('{{}}', to_json({{
+      'application_id': application_id,
+      'customer': {{'customer_id': customer_id, 'region': region}},
+      'loan': {{'amount': loan_amount, 'term_months': term_months}},
+      'scoring': {{'score': score, 'risk_level': risk_level}},
+      'documents': [{{'type': 'statement', 'status': decision_status}}],
+      'decision_status': decision_status, 'submitted_at': submitted_at}}))::VARCHAR AS value
+    FROM ({FLAT_SQL.format(orders='orders')})"""
+)
 def publish_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many synthetic messages as there are line items, published and read back."""
+    """A message for every order, published and read back."""
+    flat = spark.sql(FLAT_SQL, orders=load(spark, sf_dir, "orders")).withColumns(
+        {"doc_type": F.lit("statement"), "doc_status": F.col("decision_status")}
+    )
     sink = MessageDir(scratch_path(spark, "published"))
-    run_publish(spark, sink, load(spark, sf_dir, "lineitem").count())
+    run_publish(spark, sink, flat)
     return read_messages(spark, sink)
 
 

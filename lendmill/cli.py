@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import dataclasses
 import json
+import re
 from collections.abc import Sequence
 from pathlib import Path
 
@@ -38,6 +39,16 @@ def message_place(text: str, options_file: str | None) -> MessageSource:
     return Topic(text.removeprefix("topic:"), options)
 
 
+def read_settings(path: str) -> dict[str, str]:
+    """Spark settings of a properties file: a name and a value a line, ``#`` for remarks."""
+    found = {}
+    for line in Path(path).read_text().splitlines():
+        if (line := line.strip()) and not line.startswith("#"):
+            name, value = re.split(r"\s*[=:]\s*|\s+", line, maxsplit=1)
+            found[name] = value
+    return found
+
+
 def show(df: DataFrame) -> None:
     df.printSchema()
     df.show(PREVIEW_ROWS, truncate=False)
@@ -61,8 +72,9 @@ def loan_batch(spark: SparkSession, args: argparse.Namespace) -> object:
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> object:
-    run_publish(spark, message_place(args.sink, args.options_file), args.rows)
-    return {"rows": args.rows}
+    rows = args.rows if args.table is None else read_parquet_table(spark, args.table, FLAT)
+    run_publish(spark, message_place(args.sink, args.options_file), rows)
+    return {"rows": args.rows, "table": args.table}
 
 
 def flatten_batch(spark: SparkSession, args: argparse.Namespace) -> object:
@@ -106,6 +118,7 @@ def call_snapshot(spark: SparkSession, args: argparse.Namespace) -> object:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="run_job.py", description=__doc__)
+    top.add_argument("--settings", help="properties file with Spark settings for the job")
     jobs = top.add_subparsers(dest="job", required=True)
 
     def job(name, run, *positional, help):
@@ -124,7 +137,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--preview", action="store_true")
 
     sub = job("publish", publish, "sink", help=run_publish.__doc__)
-    sub.add_argument("--rows", type=int, required=True)
+    what = sub.add_mutually_exclusive_group(required=True)
+    what.add_argument("--table", help="a flat table, a message for each row")
+    what.add_argument("--rows", type=int, help="so many synthetic applications")
     sub.add_argument("--options-file")
 
     sub = job("flatten-batch", flatten_batch, "source", "flat", help=run_flatten_batch.__doc__)
@@ -157,7 +172,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
+    settings = read_settings(args.settings) if args.settings else {}
     if spark is None:
-        spark = SparkSession.builder.appName(f"lendmill-{args.job}").getOrCreate()
+        builder = SparkSession.builder.appName(f"lendmill-{args.job}").config(map=settings)
+        spark = builder.getOrCreate()
         spark.sparkContext.setLogLevel("WARN")
+    else:
+        for name, value in settings.items():
+            if spark.conf.isModifiable(name):
+                spark.conf.set(name, value)
     print(json.dumps(args.run(spark, args)))

@@ -6,9 +6,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendmill.operators import flatten_messages, ordered_range, stored_head, synth_messages
+from lendmill.functions.layout import Layout
+from lendmill.operators import (
+    flatten_messages,
+    ordered_range,
+    pack_messages,
+    stored_head,
+    synth_messages,
+)
 from lendmill.plans.paths import check_apart, check_path
-from lendmill.schemas import FLAT
+from lendmill.schemas import FLAT, MESSAGE_LAYOUT
 from lendmill.sinks import export_csv, refresh_table, write_messages
 from lendmill.sinks.files import HEAD_ROWS
 from lendmill.sources import MessageDir, MessageSource, read_messages, read_parquet_table, table_path
@@ -24,9 +31,18 @@ class FlattenResult:
     extract_path: str | None
 
 
-def run_publish(spark: SparkSession, sink: MessageSource, rows: int) -> None:
-    """Append ``rows`` synthetic applications, numbered from 0, to the sink."""
-    write_messages(synth_messages(spark.range(rows)), sink)
+def run_publish(
+    spark: SparkSession, sink: MessageSource, rows: DataFrame | int, layout: Layout = MESSAGE_LAYOUT
+) -> None:
+    """Append a message for each row of a table to the sink, nested by ``layout``.
+
+    A number stands for so many synthetic applications, numbered from 0.
+    """
+    if isinstance(rows, int):
+        messages = synth_messages(spark.range(rows))
+    else:
+        messages = pack_messages(rows, layout)
+    write_messages(messages, sink)
 
 
 def _place(source: MessageSource) -> str | None:

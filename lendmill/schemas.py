@@ -73,7 +73,7 @@ FLAT = table(
     submitted_at=TEXT,
 )
 
-# Message field -> flat column. The list marks the array that is exploded.
+# Message field -> flat column. The list marks the array that is exploded.
 MESSAGE_LAYOUT = {
     "application_id": "application_id",
     "customer": {"customer_id": "customer_id", "region": "region"},

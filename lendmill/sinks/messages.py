@@ -22,7 +22,7 @@ def write_messages(messages: DataFrame, sink: MessageSource) -> None:
     else:
         present = bodies.where(F.col("value").isNotNull())
         broken = F.raise_error(F.lit("a message body has a line break"))
-        present = present.select(
-            F.when(F.col("value").cast("string").rlike(r"[\n\r]"), broken).otherwise(F.col("value")).alias("value")
-        )
+        text = F.col("value").cast("string")
+        breaks = F.contains(text, F.lit("\n")) | F.contains(text, F.lit("\r"))
+        present = present.select(F.when(breaks, broken).otherwise(F.col("value")).alias("value"))
         present.write.mode("append").option("lineSep", "\n").text(sink.path)

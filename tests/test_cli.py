@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from lendmill.cli import main, message_place
+from lendmill.cli import main, message_place, read_settings
 from lendmill.schemas import APPLICATIONS, CALLS
 from lendmill.sinks import snapshot_table
 from lendmill.sources import MessageDir, Topic
@@ -23,12 +23,15 @@ def last(output):
 
 def test_messages_to_dashboard(run, spark, tmp_path):
     topic, flat, checkpoint = tmp_path / "topic", tmp_path / "flat", tmp_path / "checkpoint"
-    assert last(run("publish", topic, "--rows", 1200)) == {"rows": 1200}
+    assert last(run("publish", topic, "--rows", 1200)) ["rows"] == 1200
     out = run("flatten-batch", topic, flat, "--extract", tmp_path / "csv", "--preview")
     assert last(out)["rows"] == 1200
     assert "|-- doc_status: string" in out and "passport" in out
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1000
     assert last(run("flatten-stream", topic, tmp_path / "stream", checkpoint, "--preview"))["rows"] == 1200
+    again = tmp_path / "again"
+    run("publish", again, "--table", flat)
+    assert spark.read.text(str(again)).count() == 1200
     paths = last(run("dashboard", flat, tmp_path / "charts"))
     assert spark.read.parquet(paths["decision_count"]).count() == 4
 
@@ -66,3 +69,17 @@ def test_message_place(tmp_path):
     options.write_text('{"kafka.bootstrap.servers": "host:9092"}')
     assert message_place("topic:loans", str(options)) == Topic("loans", {"kafka.bootstrap.servers": "host:9092"})
     assert message_place("s3a://bucket/in", None) == MessageDir("s3a://bucket/in")
+
+
+def test_settings_from_a_file(run, spark, tmp_path):
+    file = tmp_path / "job.properties"
+    file.write_text("# job\nspark.sql.shuffle.partitions = 3\n\nspark.sql.adaptive.enabled true\nspark.master: x=y\n")
+    assert read_settings(str(file)) == {
+        "spark.sql.shuffle.partitions": "3", "spark.sql.adaptive.enabled": "true", "spark.master": "x=y",
+    }
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        run("--settings", file, "publish", tmp_path / "topic", "--rows", 5)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
