@@ -29,7 +29,8 @@ def write_keyed_table(df: DataFrame, root: str, keys: Sequence[str], buckets: in
     last = versions.current()
     number = last.number + 1 if last else 1
     content = {"keys": list(keys), "buckets": buckets, "schema": df.schema.jsonValue()}
-    return versions.commit(number, content | {"parts": _write(df, versions, number, keys, buckets, buckets)})
+    parts = _write(df, versions, number, keys, buckets, list(range(buckets)))
+    return versions.commit(number, content | {"parts": parts})
 
 
 def read_keyed_table(spark: SparkSession, root: str) -> DataFrame:
@@ -52,13 +53,13 @@ def upsert_keyed_table(
     schema = StructType.fromJson(version.content["schema"])
     typed = [F.col(k).cast(schema[k].dataType).alias(k) for k in keys]
     found = batch.select(typed).select(_bucket(keys, buckets).alias("bucket")).distinct().collect()
-    touched = sorted(str(row["bucket"]) for row in found)
+    touched = sorted(row["bucket"] for row in found)
     if not touched:
         return version
-    held = _read(spark, root, version, [parts[t] for t in touched if t in parts])
+    held = _read(spark, root, version, [parts[str(t)] for t in touched if str(t) in parts])
     merged = upsert_by_key(held, batch, keys, order_by)
     versions, number = Versions(spark, root), version.number + 1
-    written = _write(merged, versions, number, keys, buckets, len(touched))
+    written = _write(merged, versions, number, keys, buckets, touched)
     return versions.commit(number, version.content | {"parts": parts | written})
 
 
@@ -81,12 +82,20 @@ def _read(spark: SparkSession, root: str, version: Version, parts: Sequence[str]
 
 
 def _write(
-    df: DataFrame, versions: Versions, number: int, keys: Sequence[str], buckets: int, tasks: int
+    df: DataFrame,
+    versions: Versions,
+    number: int,
+    keys: Sequence[str],
+    buckets: int,
+    touched: Sequence[int],
 ) -> dict[str, str]:
-    """The rows as one file a part, sorted by key; where each part lies."""
+    """The rows as one file a part, sorted by key, one task for each; where each part lies."""
     name, directory = free_name("bucket", df.columns), versions.fresh(number)
     rows = df.withColumn(name, _bucket(keys, buckets))
-    rows = rows.repartition(tasks, name).sortWithinPartitions(name, *keys)
+    place = F.array_position(F.lit(list(touched)), F.col(name)) - 1
+    if len(touched) == buckets:
+        place = F.col(name)
+    rows = rows.repartitionById(len(touched), place.cast("int")).sortWithinPartitions(name, *keys)
     rows.write.partitionBy(name).parquet(f"{versions.root}/{directory}")
     written = [child for child in versions.children(directory) if child.startswith(f"{name}=")]
     return {child.split("=")[1]: f"{directory}/{child}" for child in written}
