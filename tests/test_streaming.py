@@ -25,7 +25,7 @@ def test_stream_equals_batch(spark, places):
     batch = run_flatten_batch(spark, source, places["batch"])
     streamed = run_flatten_stream(spark, source, places["flat"], places["checkpoint"], view="streamed")
     assert batch.rows == streamed.count() == 5005
-    assert same_rows(streamed, spark.read.parquet(places["batch"]))
+    assert same_rows(streamed, spark.read.parquet(batch.flat_path))
     assert spark.sql("SELECT count(*) FROM streamed").first()[0] == 5005
 
 
