@@ -95,12 +95,13 @@ def flatten_messages(
         options = {"columnNameOfCorruptRecord": corrupt_column}
 
     body = F.col("value").cast("string")
+    kept = [] if corrupt_column is None else [body.alias("body")]
     rows = messages.where(F.col("value").isNotNull()).select(
-        F.from_json(body, schema, options).alias("message"), body.alias("body")
+        F.from_json(body, schema, options).alias("message"), *kept
     )
     if array := array_path(layout):
         elements = _field("message", array)
-        rows = rows.select("message", "body", F.explode_outer(elements).alias("element"))
+        rows = rows.select("*", F.explode_outer(elements).alias("element"))
 
     fields = {
         leaf.column: _field("element" if leaf.in_array else "message", leaf.path)
