@@ -1,17 +1,26 @@
-"""Benchmark decontamination by exact pieces and edit distance.
-
-An item of which k words may be edited is cut into k + 1 pieces. An edit touches one piece
-at most, so wherever a document holds the item, it holds one of the pieces unchanged, in
-the order of its words. The pieces are looked up at every word of the documents, so no
-place is missed. Every hit is verified by the exact edit distance, in words, of the whole
-item to the best place around the piece.
+"""Benchmark decontamination by CGK embedding, bit-sampling LSH and edit distance.
+
+The CGK embedding reads words by a random walk: at step t it writes the word at its place
+and moves on if a random bit of (t, word) says so. Two windows a small edit distance apart
+become two strings that mostly agree place by place, so edit distance turns into Hamming
+distance. The words at a few sampled steps make a key that such windows often share;
+repetitions with other walks and samples raise the share of windows met to a target.
+
+An item of n words of which k may be edited is cut into at least k // 2 + 1 windows, so
+one of them has at most one edit. The repetitions are as many as bring windows of one
+edit to the target, measured for each size of window. The windows of the documents begin
+at every word. Beside them, and named as such, the k + 1 exact pieces of an item are looked
+up, one of which no edit touches: what the samples miss is found by these. Every
+hit of either kind is verified by the exact edit distance, in words, of the whole item to
+the best place around it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,35 +37,121 @@ BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 8 << 20
 #: An item is found where at most this many percent of its words are edited.
 PERCENT_APART = 20
+#: Sizes of windows, in words.
+WINDOWS = (8, 6, 5, 4, 3, 2, 1)
+#: Steps of a walk that make a key, one in each of as many equal parts of the walk.
+SAMPLED = 3
+#: The share of windows with one edited word that must be met in some repetition.
+RECALL = 0.97
+#: By how many words a window may be met beside its place.
+SLACK = 4
 CHUNK_BYTES = 512 << 10
 
 
+@dataclass
+class Table:
+    """Ascending ``keys``, the ``window`` of each, and ``seen``: which low bits occur at all."""
+
+    keys: np.ndarray
+    window: np.ndarray
+    seen: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> Table:
+        order = np.argsort(keys, kind="stable")
+        seen = np.zeros(1 << max(12, int(16 * len(keys)).bit_length()), bool)
+        seen[keys & np.uint64(len(seen) - 1)] = True
+        return cls(keys[order], order, seen)
+
+    def met(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places in ``keys`` and the windows that have the same key."""
+        at = np.flatnonzero(self.seen[keys & np.uint64(len(self.seen) - 1)])
+        a = np.searchsorted(self.keys, keys[at])
+        times = np.searchsorted(self.keys, keys[at], side="right") - a
+        places = np.repeat(at, times)
+        k = np.repeat(a - np.cumsum(times) + times, times) + np.arange(len(places))
+        return places, self.window[k]
+
+
 @dataclass
 class Class:
-    """The items with pieces of ``piece`` words; a window of ``size`` words is two of them,
-    or the one piece of an item that may not be edited.
+    """The windows of ``size`` words, the ``item`` of each and where in it it begins.
 
-    ``keys`` are ascending; ``item`` and ``shift``, where in the item the piece begins,
-    belong to them.
+    Sampled windows have a table for each repetition and need ``least`` of their words in the
+    document, at their places or beside them; exact pieces have one table and no ``least``.
     """
 
     size: int
-    piece: int
-    keys: np.ndarray
     item: np.ndarray
     shift: np.ndarray
+    windows: np.ndarray
+    least: int
+    tables: list[Table]
+
+
+def embedded_keys(own: np.ndarray, begin: np.ndarray, last: np.ndarray, places: np.ndarray, repetition: int) -> np.ndarray:
+    """The key of the walk of each window, which reads ``own`` from ``begin`` to before
+    ``last`` and then stays. ``own`` has a word more than any window reads."""
+    scattered = mix(own, 2 * repetition + 1)
+    at, key = begin.copy(), np.zeros(len(begin), np.uint64)
+    sampled = set(places.tolist())
+    for step in range(int(places.max()) + 1):
+        word = scattered[at]
+        word[at == last] = 0
+        if step in sampled:
+            key = mix(key + word, 5)
+        at += ((word >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+    return key
+
 
+def sampled_places(size: int, repetition: int) -> np.ndarray:
+    """A step in each part of a walk of twice as many steps as the window has words."""
+    rng = np.random.default_rng([size, repetition])
+    bounds = np.linspace(0, 2 * size, min(SAMPLED, 2 * size) + 1).astype(np.int64)
+    return rng.integers(bounds[:-1], bounds[1:])
 
-def repetitions(size: int) -> int:
-    """The pieces of a window, so that one edited word leaves one of them as it is."""
-    return min(2, size)
+
+def _row_keys(windows: np.ndarray, repetition: int) -> np.ndarray:
+    rows, size = windows.shape
+    begin = np.arange(rows) * size
+    return embedded_keys(
+        np.append(windows.ravel(), np.uint64(0)), begin, begin + size, sampled_places(size, repetition), repetition
+    )
 
 
-def window_class(n: int, percent: int = PERCENT_APART) -> tuple[int, int, int]:
-    """The words of a window and of a piece, and the number of pieces, for ``n`` words."""
+@cache
+def repetitions(size: int, recall: float = RECALL, trials: int = 3000) -> int:
+    """How many repetitions meet the wanted share of windows with one word replaced, taken
+    out or put in, measured on random words."""
+    rng = np.random.default_rng(size)
+    before = rng.integers(1, 1 << 62, (trials, size + 1)).astype(np.uint64)
+    after = before[:, :size].copy()
+    place, kind = rng.integers(0, size, trials), rng.integers(0, 3, trials)
+    for row, (k, change) in enumerate(zip(place, kind)):
+        if change == 1:
+            after[row, k:] = before[row, k + 1 :]
+        elif change == 2:
+            after[row, k + 1 :] = before[row, k : size - 1]
+        if change != 1:
+            after[row, k] = rng.integers(1, 1 << 62)
+    missed = np.ones(trials, bool)
+    count = 0
+    while missed.mean() > 1 - recall:
+        missed &= _row_keys(before[:, :size], count) != _row_keys(after, count)
+        count += 1
+    return count
+
+
+def window_size(n: int, percent: int = PERCENT_APART) -> int:
+    """The largest size of which an item of ``n`` words has a window of at most one edit."""
+    most = n // (n * percent // 100 // 2 + 1)
+    return next(size for size in WINDOWS if size <= most)
+
+
+def piece_size(n: int, percent: int = PERCENT_APART) -> tuple[int, int]:
+    """The words of an exact piece and the number of pieces: one more than edits."""
     pieces = min(n, n * percent // 100 + 1)
-    piece = n // pieces
-    return piece * min(pieces, repetitions(2 * piece)), piece, pieces
+    return n // pieces, pieces
 
 
 def piece_keys(hashes: np.ndarray, piece: int) -> np.ndarray:
@@ -68,36 +163,80 @@ def piece_keys(hashes: np.ndarray, piece: int) -> np.ndarray:
     return key
 
 
-def index(items: list[tuple[int, np.ndarray]], percent: int = PERCENT_APART) -> list[Class]:
-    """The classes of the items' pieces; an item is its place in ``items``."""
-    by: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
+def _cut(items: list[tuple[int, np.ndarray]], members: list[tuple[int, int]], size: int) -> tuple[np.ndarray, ...]:
+    """The item, the first word and the words of all windows; a member is an item and the
+    number of its windows."""
+    item = np.concatenate([np.full(count, i) for i, count in members])
+    shift = np.concatenate([np.arange(count) * size for _, count in members])
+    held = [items[i][1][: count * size].reshape(count, size) for i, count in members]
+    return item, shift, np.concatenate(held)
+
+
+def sampled_index(items: list[tuple[int, np.ndarray]], percent: int = PERCENT_APART) -> list[Class]:
+    """The classes of the items' sampled windows; an item is its place in ``items``."""
+    by: dict[tuple[int, bool], list[tuple[int, int]]] = {}
+    for i, (_, hashes) in enumerate(items):
+        if n := len(hashes):
+            exact = n * percent < 100
+            size = n if exact else window_size(n, percent)
+            by.setdefault((size, exact), []).append((i, n // size))
+    classes = []
+    for (size, exact), members in sorted(by.items()):
+        item, shift, windows = _cut(items, members, size)
+        tables = [Table.of(_row_keys(windows, r)) for r in range(1 if exact else repetitions(size))]
+        classes.append(Class(size, item, shift, windows, size if exact else -(-size // 2), tables))
+    return classes
+
+
+def piece_index(items: list[tuple[int, np.ndarray]], percent: int = PERCENT_APART) -> list[Class]:
+    """The classes of the items' exact pieces."""
+    by: dict[int, list[tuple[int, int]]] = {}
     for i, (_, hashes) in enumerate(items):
         if len(hashes):
-            size, piece, pieces = window_class(len(hashes), percent)
-            by.setdefault((size, piece), []).append((i, np.arange(pieces) * piece))
+            size, pieces = piece_size(len(hashes), percent)
+            by.setdefault(size, []).append((i, pieces))
     classes = []
-    for (size, piece), members in sorted(by.items()):
-        keys = np.concatenate([piece_keys(items[i][1], piece)[shifts] for i, shifts in members])
-        item = np.concatenate([np.full(len(shifts), i) for i, shifts in members])
-        shift = np.concatenate([shifts for _, shifts in members])
-        order = np.argsort(keys, kind="stable")
-        classes.append(Class(size, piece, keys[order], item[order], shift[order]))
+    for size, members in sorted(by.items()):
+        item, shift, windows = _cut(items, members, size)
+        key = np.zeros(len(windows), np.uint64)
+        for k in range(size):
+            key = mix(key + windows[:, k], 5)
+        classes.append(Class(size, item, shift, windows, 0, [Table.of(key)]))
     return classes
 
 
+def _alike(hashes: np.ndarray, at: np.ndarray, windows: np.ndarray, least: int) -> np.ndarray:
+    """Whether so many words of the window are in the document, at most one place beside."""
+    count, top = np.zeros(len(at), np.int8), len(hashes) - 1
+    for k in range(windows.shape[1]):
+        same = np.zeros(len(at), bool)
+        for beside in (-1, 0, 1):
+            same |= hashes[np.clip(at + k + beside, 0, top)] == windows[:, k]
+        count += same
+    return count >= least
+
+
 def candidates(hashes: np.ndarray, text: np.ndarray, firsts: np.ndarray, counts: np.ndarray, classes: list[Class]) -> np.ndarray:
     """Distinct rows of text, item and the word at which the item would begin, ascending."""
     hits = [np.empty((0, 3), np.int64)]
+    begin, ends = np.arange(len(hashes)), (firsts + counts)[text]
+    own = np.append(hashes, np.uint64(0))
     for c in classes:
-        keys = piece_keys(hashes, c.piece)
-        a = np.searchsorted(c.keys, keys)
-        met = np.flatnonzero(c.keys[np.minimum(a, len(c.keys) - 1)] == keys)
-        # not those that run on into the next text
-        met = met[met + c.piece <= (firsts + counts)[text[met]]]
-        times = np.searchsorted(c.keys, keys[met], side="right") - a[met]
-        at = np.repeat(met, times)
-        k = np.repeat(a[met] - np.cumsum(times) + times, times) + np.arange(len(at))
-        hits.append(np.stack([text[at], c.item[k], at - c.shift[k]], axis=1).astype(np.int64))
+        for r, table in enumerate(c.tables):
+            if c.least:
+                last = np.minimum(begin + c.size, ends)
+                keys = embedded_keys(own, begin, last, sampled_places(c.size, r), r)
+            else:
+                keys = piece_keys(hashes, c.size)
+            at, window = table.met(keys)
+            for low in range(0, len(at), 1 << 18):
+                a, w = at[low : low + (1 << 18)], window[low : low + (1 << 18)]
+                if c.least:
+                    good = _alike(hashes, a, c.windows[w], c.least)
+                else:  # not those that run on into the next text
+                    good = a + c.size <= ends[a]
+                a, w = a[good], w[good]
+                hits.append(np.stack([text[a], c.item[w], a - c.shift[w]], axis=1).astype(np.int64))
     return np.unique(np.concatenate(hits), axis=0)
 
 
@@ -108,7 +247,7 @@ def regions(found: np.ndarray, lengths: np.ndarray, percent: int) -> np.ndarray:
         return np.empty((0, 4), np.int64)
     text, item, begin = found.T
     n = lengths[item]
-    most = n * percent // 100
+    most = n * percent // 100 + SLACK
     new = np.ones(len(found), bool)
     new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(begin) > (n + 3 * most)[1:])
     first = np.flatnonzero(new)
@@ -195,7 +334,7 @@ def blocks(items: DataFrame) -> list[tuple[int, int]]:
     return found or [(0, 0)]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART, exact: bool = True) -> DataFrame:
     """``doc_id``, ``item_id``, ``edits``, ``similarity``, ``end_word`` for each document row
     and benchmark item that it holds, with at most ``percent`` of the item's words edited.
 
@@ -203,6 +342,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -
     the document's words up to the end of the best place, the first of equal ones. Null and
     empty texts and items without words match nothing. The benchmark is taken in blocks of
     a bounded number of items and bytes; each block is one pass over the documents without a shuffle.
+    Without ``exact`` only the sampled windows are looked up, to measure their recall.
     """
     items = documents(benchmark, "item_id", "text").where("text IS NOT NULL").distinct()
     found = None
@@ -217,21 +357,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT_APART) -
                 for k, (a, n) in enumerate(zip(parts.firsts, parts.counts))
             ]
         own = documents(docs, "doc_id", "text").mapInArrow(
-            _matching(held, index(held, percent), percent),
+            _matching(held, sampled_index(held, percent) + (piece_index(held, percent) if exact else []), percent),
             "doc_id long, item_id long, edits int, similarity double, end_word long",
         )
         found = own if found is None else found.unionByName(own)
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, whole: bool = False) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item is found; rows of one ``doc_id`` go
-    together. With ``whole`` rows without ``doc_id`` are judged by their own text, else
-    they stay."""
+    together, those without ``doc_id`` are judged by their own text."""
     names = docs.columns
-    if not whole:
-        gone = leaks(docs, benchmark).select("doc_id").distinct()
-        return docs.join(gone, "doc_id", "left_anti").select(*(docs[f"`{c}`"] for c in names))
     # a hash may equal some doc_id, so rows with and without one are told apart
     own, key = fresh(names, "named"), fresh(names, "key")
     marked = docs.withColumn(own, F.col("doc_id").isNotNull()).withColumn(
