@@ -35,6 +35,24 @@ def test_all_items_within_the_edits_are_found(spark, percent):
     assert {r["doc_id"]: (r["edits"], r["end_word"]) for r in found if r["doc_id"] == r["item_id"]} == wanted
 
 
+@pytest.mark.parametrize("percent", [5, 10, 15, 20])
+def test_recall_of_the_samples_alone(spark, percent):
+    """Without the exact pieces, item sizes one by one."""
+    rng = random.Random(1000 + percent)
+    word = lambda: f"w{rng.randrange(3000)}"
+    docs, items = [], []
+    sizes = [5, 39, 45, 71, 78]
+    for i, n in enumerate(sizes * 60):
+        item = [word() for _ in range(n)]
+        own = [word() for _ in range(rng.randrange(30))] + edited(item, n * percent // 100, rng, word)
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(own + [word() for _ in range(rng.randrange(30))])))
+    found = leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), exact=False).collect()
+    met = {r["doc_id"] for r in found if r["doc_id"] == r["item_id"]}
+    shares = {n: sum(i in met for i in range(k, len(docs), 5)) / 60 for k, n in enumerate(sizes)}
+    assert all(share >= 0.95 for share in shares.values()), shares
+
+
 def test_repeated_words_are_read_once(spark):
     docs = [(1, "la " * 20_000 + "end"), (2, "end " + "la " * 3)]
     items = [(1, "la " * 30), (2, "la la la la la end")]
@@ -60,5 +78,5 @@ def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
 def test_rows_without_doc_id_are_judged_by_their_text(spark):
     docs = [(None, "x alpha beta gamma y"), (None, "nothing here"), (None, None), (1, "alpha beta gamma"), (1, "other"), (2, "nothing here")]
     benchmark = spark.createDataFrame([(1, "alpha beta gamma")], ITEMS)
-    kept = clean(spark.createDataFrame(docs, DOCS), benchmark, whole=True)
+    kept = clean(spark.createDataFrame(docs, DOCS), benchmark)
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([docs[1], docs[2], docs[5]], key=str)
