@@ -3,7 +3,7 @@
 A bucket may hold a large part of all nodes, mostly because these are variants of one
 thing and link with one another. So first each node is only paired with a few hubs of its
 buckets, which is linear in the memberships and joins such variants to few groups. This
-is done twice, with other hubs. Then all pairs of nodes that share a bucket, but are not yet in one
+is done ``rounds`` times, each with other hubs. Then all pairs of nodes that share a bucket, but are not yet in one
 group, are checked: no link between two groups is lost, and pairs inside a group are
 never made.
 """
@@ -36,6 +36,7 @@ def connected(
     possible: Condition,
     verify: Callable[[DataFrame], DataFrame],
     hubs: int = HUBS,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """``node``, ``component`` (smallest node) for each node that has a link.
 
@@ -47,7 +48,7 @@ def connected(
     members = stored(members, "members")
     groups = spark.createDataFrame([], "node long, component long")
     labelled = _labelled(members, groups)
-    for turn in range(ROUNDS):
+    for turn in range(rounds):
         pairs = _distinct(_hub_pairs(labelled, possible, turn * hubs, hubs))
         groups = _merged(groups, stored(verify(pairs), "links"))
         labelled = stored(_labelled(members, groups), "labelled")
