@@ -37,19 +37,27 @@ def connected(
     verify: Callable[[DataFrame], DataFrame],
     hubs: int = HUBS,
     rounds: int = ROUNDS,
+    once: bool = False,
 ) -> DataFrame:
     """``node``, ``component`` (smallest node) for each node that has a link.
 
     ``members`` has ``node`` (long), ``bucket`` and further columns, one row per node
     and bucket. ``possible`` is a cheap necessary condition on the columns of two rows.
-    ``verify`` gets distinct pairs ``a < b`` and returns those that link.
+    ``verify`` gets distinct pairs ``a < b`` and returns those that link. With ``once`` the
+    pairs that the hubs made are stored and not verified again: it pays where most pairs
+    do not link.
     """
     spark = members.sparkSession
     members = stored(members, "members")
     groups = spark.createDataFrame([], "node long, component long")
     labelled = _labelled(members, groups)
+    verified: list[DataFrame] = []
     for turn in range(rounds):
         pairs = _distinct(_hub_pairs(labelled, possible, turn * hubs, hubs))
+        pairs = _unseen(pairs, verified)
+        if once:
+            pairs = stored(pairs, "pairs")
+            verified.append(pairs)
         groups = _merged(groups, stored(verify(pairs), "links"))
         labelled = stored(_labelled(members, groups), "labelled")
     split = (
@@ -64,7 +72,13 @@ def connected(
         _named(rest, "b"),
         (a("bucket") == b("bucket")) & (a("component") < b("component")) & possible(a, b),
     )
-    return _merged(groups, stored(verify(_distinct(across)), "links"))
+    return _merged(groups, stored(verify(_unseen(_distinct(across), verified)), "links"))
+
+
+def _unseen(pairs: DataFrame, verified: list[DataFrame]) -> DataFrame:
+    for earlier in verified:
+        pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+    return pairs
 
 
 def _labelled(members: DataFrame, groups: DataFrame) -> DataFrame:
