@@ -34,9 +34,15 @@ CELLS_TOGETHER = 64
 WELL_FILLED = 0.99
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 3
-CHILDREN = 4
-
+POPULATION = 6
+#: Children without a better packing, one after the other, that end an epoch.
+PATIENCE = 12
+#: Part of the well-filled sequences that a child takes over at most, and of its other
+#: parent's sequences that are taken apart.
+TAKEN = 0.1
+MUTATED = 0.03
+#: Pieces of a sequence that are tried for exchange, alone and in pairs.
+EXCHANGED = 4
 
 
 def _cut(tokenizer: str, end: int, length: int, with_ids: bool):
@@ -119,53 +125,144 @@ class Packing:
         return sum(((self.length - r) / self.length) ** 2 for r in self.room) / max(1, len(self.bins))
 
 
+def least_sequences(sizes: list[int], length: int) -> int:
+    """A number of sequences that no packing can go below.
+
+    Pieces of more than half a sequence never share one, and pieces of at least ``k`` find
+    no room beside those of more than ``length - k``; the best ``k`` counts.
+    """
+    count = np.bincount(np.array(sizes, np.int64), minlength=length + 1)
+    above = np.append(np.cumsum(count[::-1])[::-1], 0)  # pieces of at least a size
+    total = np.append(np.cumsum((count * np.arange(length + 1))[::-1])[::-1], 0)
+    k = np.arange(length // 2 + 1)
+    half = length // 2 + 1
+    alone, large = above[length - k + 1], above[half] - above[length - k + 1]
+    room = large * length - (total[half] - total[length - k + 1])
+    small = total[k] - total[half]
+    return int((alone + large + np.maximum(0, -(-(small - room) // length))).max())
+
+
+def _exchanges(b: int, items: list[int], room: int, sizes: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """Sequence, length that goes out, length that may come in, and the one or two pieces."""
+    few = items[:EXCHANGED]
+    found = [(b, sizes[i], sizes[i] + room, i, -1) for i in few]
+    return found + [
+        (b, sizes[i] + sizes[j], sizes[i] + sizes[j] + room, i, j) for x, i in enumerate(few) for j in few[:x]
+    ]
+
+
+def replaced(bins: list[list[int]], rooms: list[int], free: list[int], sizes: list[int], length: int) -> list[int]:
+    """Fill ``bins`` by exchange: one or two pieces go out for one or two of the ``free``
+    that are longer together and still fit, the largest gains first, until none is left.
+    Returns the pieces that are free then; they are shorter and find room more easily."""
+    changed = {b for b, room in enumerate(rooms) if room}
+    tried = np.empty((0, 5), np.int64)
+    while free and changed:
+        tried = tried[~np.isin(tried[:, 0], list(changed))]
+        new = [e for b in changed if rooms[b] for e in _exchanges(b, bins[b], rooms[b], sizes)]
+        tried = np.concatenate([tried, np.array(new, np.int64).reshape(-1, 5)])
+        by: dict[int, list[int]] = {}
+        for i in free:
+            by.setdefault(sizes[i], []).append(i)
+        have = np.array(sorted(by), np.int64)
+        sums = have[:, None] + have[None, :]
+        lone = [k for k, size in enumerate(have.tolist()) if len(by[size]) < 2]
+        sums[lone, lone] = length + 1
+        sums = np.concatenate([have, sums.ravel()])
+        fits = np.flatnonzero(sums <= length)[::-1]
+        first = np.full(length + 1, -1, np.int64)  # of each sum one of the pair, 0 for a single piece
+        first[sums[fits]] = np.concatenate([np.zeros(len(have), np.int64), np.repeat(have, len(have))])[fits]
+        best = np.maximum.accumulate(np.where(first >= 0, np.arange(length + 1), 0))
+        put = best[tried[:, 2]]
+        gain = put - tried[:, 1]
+        better = np.flatnonzero(gain > 0)
+        better = better[np.argsort(-gain[better], kind="stable")]
+        changed, freed = set(), []
+        for (b, out, _, one, two), total in zip(tried[better].tolist(), put[better].tolist()):
+            if b in changed:
+                continue
+            half = int(first[total])
+            wanted = (half, total - half) if half else (total,)
+            if any(len(by[size]) < wanted.count(size) for size in wanted):
+                continue
+            goes = [one, two] if two >= 0 else [one]
+            bins[b] = [by[size].pop() for size in wanted] + [i for i in bins[b] if i not in goes]
+            rooms[b] -= total - out
+            freed += goes
+            changed.add(b)
+        free = [i for items in by.values() for i in items] + freed
+    return free
+
+
 def crossed(one: Packing, other: Packing, rng: random.Random) -> Packing:
-    """``one`` with some well-filled sequences of ``other`` in it."""
-    most = one.length - int(WELL_FILLED * one.length)
+    """``one`` with some well-filled sequences of ``other`` in it, its worst-filled ones and
+    some others taken apart, and what lost its place exchanged and placed again."""
+    sizes, length = one.sizes, one.length
+    most = length - int(WELL_FILLED * length)
     whole = [b for b, room in enumerate(other.room) if room <= most]
-    chosen = rng.sample(whole, rng.randint(1, max(1, len(whole) // 2))) if whole else []
-    child = Packing(one.sizes, one.length)
-    taken = set()
-    for b in chosen:
-        child.add(list(other.bins[b]))
-        taken.update(other.bins[b])
+    chosen = rng.sample(whole, rng.randint(1, max(1, int(len(whole) * TAKEN)))) if whole else []
+    kept, rooms = [list(other.bins[b]) for b in chosen], [other.room[b] for b in chosen]
+    taken = {i for items in kept for i in items}
+    apart = set(rng.sample(range(len(one.bins)), max(1, int(len(one.bins) * MUTATED)))) if one.bins else set()
+    poor = sorted((b for b, room in enumerate(one.room) if room > most), key=lambda b: -one.room[b])
+    apart.update(poor[: max(1, int(len(poor) * MUTATED))])
     displaced = []
-    for items in one.bins:
-        if taken.isdisjoint(items):
-            child.add(list(items))
+    for b, items in enumerate(one.bins):
+        if b not in apart and taken.isdisjoint(items):
+            kept.append(list(items))
+            rooms.append(one.room[b])
         else:
             displaced += [i for i in items if i not in taken]
-    displaced.sort(key=lambda i: -one.sizes[i])
+    displaced = replaced(kept, rooms, displaced, sizes, length)
+    child = Packing(sizes, length)
+    for items in kept:
+        child.add(items)
+    displaced.sort(key=lambda i: -sizes[i])
     child.place(displaced)
     return child
 
 
 def evolved(sizes: list[int], given: list[list[list[int]]], seed: int, length: int) -> Packing:
-    """The best packing after some generations that start from the given ones."""
+    """The best packing that evolves from the given ones and from best-fit ones.
+
+    It ends when no packing can have fewer sequences, or when ``PATIENCE`` children one
+    after the other have not made the best one better.
+    """
     rng = random.Random(seed)
     full = [i for i, size in enumerate(sizes) if size == length]
     rest = sorted((i for i, size in enumerate(sizes) if size < length), key=lambda i: -sizes[i])
-    people = []
+    least = least_sequences(sizes, length)
+    people: list[tuple[int, float, int, Packing]] = []  # the best first
+
+    def join(packing: Packing) -> None:
+        people.append((len(packing.bins), -packing.filled(), born, packing))
+        people.sort()
+
+    born = 0
     for bins in given:
         packing = Packing(sizes, length)
         for items in bins:
             packing.add(list(items))
-        people.append(packing)
-    while len(people) < POPULATION:
+        join(packing)
+        born += 1
+    while len(people) < POPULATION and not (people and people[0][0] == least):
         packing = Packing(sizes, length)
         for i in full:
             packing.add([i])
         # the first in falling order of length, the others with the order disturbed
         shake = 0.0 if not people else 0.1
         packing.place(sorted(rest, key=lambda i: -sizes[i] * (1 + shake * rng.random())) if shake else rest)
-        people.append(packing)
-    best = lambda p: (len(p.bins), -p.filled())
-    for _ in range(CHILDREN):
-        people.sort(key=best)
-        child = crossed(people[0], people[rng.randrange(1, len(people))], rng)
-        if best(child) < best(people[-1]):
-            people[-1] = child
-    return min(people, key=best)
+        join(packing)
+        born += 1
+    idle = 0
+    while people[0][0] > least and idle < PATIENCE:
+        one, other = sorted(rng.sample(people, 2))
+        before = people[0][0]
+        join(crossed(one[3], other[3], rng))
+        born += 1
+        del people[POPULATION:]
+        idle = 0 if people[0][0] < before else idle + 1
+    return people[0][3]
 
 
 def _packed_bins(bins: list[list[int]]) -> bytes:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lendmill.llm import packing
-from lendmill.llm.packing import Packing, crossed, evolved, pack, packed_documents, sequences
+from lendmill.llm.packing import Packing, crossed, evolved, least_sequences, pack, packed_documents, replaced, sequences
 from lendmill.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string"
@@ -92,3 +92,34 @@ def test_operators_of_the_genetic_algorithm():
 @pytest.mark.parametrize("sizes", [[], [2048], [1], [1024, 1024, 1024]])
 def test_small_packings(sizes):
     assert len(evolved(sizes, [], 0, 2048).bins) == -(-sum(sizes) // 2048)
+
+
+@pytest.mark.parametrize("low, high, part", [(500, 1100, 0.97), (400, 700, 0.97)])
+def test_evolution_needs_fewer_sequences_than_best_fit(low, high, part):
+    rng = random.Random(low)
+    sizes = [rng.randint(low, high) for _ in range(1500)]
+    start = Packing(sizes, 2048)
+    start.place(sorted(range(len(sizes)), key=lambda i: -sizes[i]))
+    found = evolved(sizes, [], 1, 2048)
+    assert sorted(i for b in found.bins for i in b) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in b) <= 2048 for b in found.bins)
+    assert least_sequences(sizes, 2048) <= len(found.bins) <= part * len(start.bins)
+
+
+def test_least_sequences_and_exchange():
+    rng = random.Random(2)
+    for _ in range(300):
+        sizes = [rng.randint(1, 20) for _ in range(rng.randint(0, 8))]
+        fewest = [0] + [len(sizes)] * ((1 << len(sizes)) - 1)  # by set of pieces
+        total = [sum(n for i, n in enumerate(sizes) if m >> i & 1) for m in range(1 << len(sizes))]
+        for m in range(1, len(total)):
+            part = m
+            while part:
+                if total[part] <= 20:
+                    fewest[m] = min(fewest[m], fewest[m ^ part] + 1)
+                part = (part - 1) & m
+        assert -(-sum(sizes) // 20) <= least_sequences(sizes, 20) <= fewest[-1]
+    # 7 goes out for 5 and 4, then 4 for nothing: no free piece fills more
+    sizes, bins, rooms = [11, 7, 5, 4], [[0, 1]], [2]
+    assert sorted(replaced(bins, rooms, [2, 3], sizes, 20)) == [1]
+    assert sorted(bins[0]) == [0, 2, 3] and rooms == [0]
