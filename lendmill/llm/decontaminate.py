@@ -45,7 +45,8 @@ SAMPLED = 3
 RECALL = 0.97
 #: By how many words a window may be met beside its place.
 SLACK = 4
-CHUNK_BYTES = 512 << 10
+CHUNK_BYTES = 256 << 10
+_KEY_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -93,17 +94,29 @@ def embedded_keys(own: np.ndarray, begin: np.ndarray, last: np.ndarray, places:
     """The key of the walk of each window, which reads ``own`` from ``begin`` to before
     ``last`` and then stays. ``own`` has a word more than any window reads."""
     scattered = mix(own, 2 * repetition + 1)
-    at, key = begin.copy(), np.zeros(len(begin), np.uint64)
+    at, key = begin.astype(np.int64), np.zeros(len(begin), np.uint64)
+    size = int((last - begin).max(initial=0))
+    # before step ``size`` only windows of fewer words can have come to their end
+    short = np.flatnonzero(last - begin < size)
+    short_last = last[short]
+    word, move, going = np.empty_like(key), np.empty_like(key), np.empty(len(begin), bool)
     sampled = set(places.tolist())
     for step in range(int(places.max()) + 1):
-        word = scattered[at]
-        word[at == last] = 0
+        np.take(scattered, at, out=word, mode="clip")
+        if step < size:
+            word[short[at[short] == short_last]] = 0
+        else:
+            np.multiply(word, np.not_equal(at, last, out=going), out=word)
         if step in sampled:
-            key = mix(key + word, 5)
-        at += ((word >> np.uint64(step % 64)) & np.uint64(1)).astype(np.int64)
+            key *= _KEY_STEP
+            key += word
+        np.right_shift(word, np.uint64(step % 64), out=move)
+        move &= np.uint64(1)
+        at += move.view(np.int64)
     return key
 
 
+@cache
 def sampled_places(size: int, repetition: int) -> np.ndarray:
     """A step in each part of a walk of twice as many steps as the window has words."""
     rng = np.random.default_rng([size, repetition])

@@ -71,10 +71,14 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
 
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
     """A one-to-one scattering of 64-bit values, another one for each seed."""
-    values = values ^ np.uint64(seed * 0xA24BAED4963EE407 % (1 << 64))
-    values = (values ^ (values >> np.uint64(32))) * _MIX
-    values = (values ^ (values >> np.uint64(29))) * _STEP
-    return values ^ (values >> np.uint64(32))
+    out = values ^ np.uint64(seed * 0xA24BAED4963EE407 % (1 << 64))
+    shifted = out >> np.uint64(32)
+    out ^= shifted
+    out *= _MIX
+    out ^= np.right_shift(out, np.uint64(29), out=shifted)
+    out *= _STEP
+    out ^= np.right_shift(out, np.uint64(32), out=shifted)
+    return out
 
 
 def words(chunk: Chunk, separators: bytes = SPACES, lower: bool = True) -> Words:

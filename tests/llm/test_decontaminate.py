@@ -142,3 +142,31 @@ def test_repetitions_reach_the_recall_of_one_edit(size):
     for r in range(repetitions(size)):
         met |= decontaminate._row_keys(before, r) == decontaminate._row_keys(after, r)
     assert met.mean() >= 0.95
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 8])
+def test_walk_keys_stand_for_the_words_read(monkeypatch, size):
+    """Keys are equal just where a plain walk reads the same; the words are scattered in one pass."""
+    rng = np.random.default_rng(size)
+    counts = rng.integers(0, 3 * size + 2, 60)
+    ends = np.repeat(np.cumsum(counts), counts)
+    own = np.append(rng.integers(1, 4, len(ends)).astype(np.uint64), np.uint64(0))
+    begin, passes = np.arange(len(ends)), []
+    last = np.minimum(begin + size, ends)
+    mix = decontaminate.mix
+    monkeypatch.setattr(decontaminate, "mix", lambda *a: passes.append(1) or mix(*a))
+    for repetition in range(4):
+        places = decontaminate.sampled_places(size, repetition)
+        passes.clear()
+        keys = decontaminate.embedded_keys(own, begin, last, places, repetition)
+        assert len(passes) == 1
+        scattered, read = mix(own, 2 * repetition + 1).tolist(), []
+        for at, end in zip(begin.tolist(), last.tolist()):
+            steps = []
+            for step in range(int(places.max()) + 1):
+                word = scattered[at] if at < end else 0
+                if step in places:
+                    steps.append(word)
+                at += word >> step % 64 & 1
+            read.append(tuple(steps))
+        assert len(set(zip(keys.tolist(), read))) == len(set(read)) == len(set(keys.tolist()))
